@@ -15,7 +15,7 @@ from siftwork.operators.keys import duplicate_keys, rows_holding
 from siftwork.operators.normalize import normalize, normalize_all
 from siftwork.operators.order_checks import typed
 from siftwork.operators.presets import preset_rules
-from siftwork.operators.split import clean_rows, rejected_rows
+from siftwork.operators.split import clean_rows, is_rejected, rejected_rows
 from siftwork.plans.orders import run_orders_job
 from siftwork.plans.quality import run_quality_pipeline
 from siftwork.plans.serving import publish_serving
@@ -219,7 +219,10 @@ def clean_orders_by_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rejected_by_reason_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return order_checks.rejected_orders(_checked_orders(spark, folder)[0])
+    checked, _ = _checked_orders(spark, folder)
+    # The rejected rows are read twice from here on, so they are checked and written once.
+    failed = checked.filter(is_rejected(order_checks.ORDER_RULES))
+    return order_checks.rejected_orders(Stage(spark).table(failed, "failed"))
 
 
 def rejection_reason_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,9 +1,16 @@
 from siftwork.functions.casts import to_date, to_integer, to_key, to_number
-from siftwork.functions.text import is_blank, looks_like_email, lower, strip, title_case, upper
+from siftwork.functions.text import (
+    is_blank,
+    is_malformed_email,
+    lower,
+    strip,
+    title_case,
+    upper,
+)
 
 __all__ = [
     "is_blank",
-    "looks_like_email",
+    "is_malformed_email",
     "lower",
     "strip",
     "title_case",

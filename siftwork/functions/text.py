@@ -12,9 +12,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Fixed value: the accepted email shape, with white space spelled out because
-# Java's \s covers ASCII only.
-EMAIL_PATTERN = rf"^[^@{WHITESPACE}]+@[^@{WHITESPACE}]+\.[^@{WHITESPACE}]+$"
+# Fixed value: the accepted email shape. Java's Unicode white space lacks \x1c to \x1f.
+# The Unicode flag costs a tenth of what spelling out WHITESPACE in the brackets does.
+EMAIL_SHAPE = r"[^@\s\x1c-\x1f]+@[^@\s\x1c-\x1f]+\.[^@\s\x1c-\x1f]+"
 
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
 _CASED_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
@@ -47,5 +47,7 @@ def is_blank(column: Column) -> Column:
     return F.coalesce(strip(column.cast("string")) == "", F.lit(True))
 
 
-def looks_like_email(column: Column) -> Column:
-    return strip(column).rlike(EMAIL_PATTERN)
+def is_malformed_email(column: Column) -> Column:
+    """True for text that is neither blank nor an email address; false for null."""
+    fine = strip(column).rlike(rf"(?U)^(?:|{EMAIL_SHAPE})$")
+    return ~F.coalesce(fine, F.lit(True))

@@ -29,24 +29,7 @@ def annotate(
     are not shuffled. Beyond the broadcast threshold both sides of the sort-merge join
     are plain exchanges, which adaptive execution splits where a key is hot.
     """
-    names = [name for name in df.columns if not name.endswith(DATE_TEXT)]
-    annotated = df
-    broken: list[Column] = []
-    for position, rule in enumerate(rules):
-        if rule.name == UNIQUE:
-            keys = duplicate_keys(df, rule.column)
-            annotated, found = _look_up(annotated, rule, keys, position, stage)
-            broken.append(found)
-        elif rule.name == FOREIGN_KEY:
-            reference = references[rule.reference_dataset]
-            keys = orphan_keys(df, rule.column, reference, rule.reference_column)
-            annotated, found = _look_up(annotated, rule, keys, position, stage)
-            broken.append(found | key_column(df, rule.column).isNull())
-        else:
-            broken.append(row_violation(df, rule))
-    positions = [F.when(hit, F.lit(i)) for i, hit in enumerate(broken)]
-    issues = F.array_compact(F.array(*positions)) if positions else F.array().cast("array<int>")
-    return annotated.select(*[F.col(f"`{name}`") for name in names], issues.alias(ISSUES))
+    return _look_up_all(df, rules, stage.tables(_key_sets(df, rules, references)))
 
 
 def annotate_all(
@@ -57,24 +40,70 @@ def annotate_all(
     """Annotate every dataset; a dataset without rules has no issues.
 
     Foreign keys are checked against the whole of the other dataset, rejected rows too.
+    The key sets of all datasets are found side by side.
     """
     unknown = [name for name in rules if name not in datasets]
     if unknown:
         raise KeyError(f"Rules name datasets that were not given: {unknown}")
+    needed = {
+        (name, key): keys
+        for name, df in datasets.items()
+        for key, keys in _key_sets(df, rules.get(name, ()), datasets).items()
+    }
+    written = stage.tables({f"{name}_{key}": keys for (name, key), keys in needed.items()})
     return {
-        name: annotate(df, rules.get(name, ()), datasets, stage) for name, df in datasets.items()
+        name: _look_up_all(
+            df,
+            rules.get(name, ()),
+            {key: written[f"{own}_{key}"] for own, key in needed if own == name},
+        )
+        for name, df in datasets.items()
     }
 
 
-def _look_up(
-    df: DataFrame, rule: Rule, keys: DataFrame, position: int, stage: Stage
-) -> tuple[DataFrame, Column]:
-    offending, found = f"__key_{position}", f"__found_{position}"
-    written = stage.table(
-        keys.select(F.col(f"`{rule.column}`").alias(offending)), f"{rule.name}_{position}"
-    ).withColumn(found, F.lit(True))
-    key = key_column(df, rule.column)
-    same = (
-        key.eqNullSafe(F.col(offending)) if rule.name == UNIQUE else key == F.col(offending)
+def _key_sets(
+    df: DataFrame, rules: Sequence[Rule], references: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Offending keys per rule that has any, named after the rule and its position."""
+    found = {}
+    for position, rule in enumerate(rules):
+        if rule.name == UNIQUE:
+            keys = duplicate_keys(df, rule.column)
+        elif rule.name == FOREIGN_KEY:
+            reference = references[rule.reference_dataset]
+            keys = orphan_keys(df, rule.column, reference, rule.reference_column)
+        else:
+            continue
+        found[_set_name(rule, position)] = keys.select(
+            F.col(f"`{rule.column}`").alias(f"__key_{position}")
+        )
+    return found
+
+
+def _look_up_all(
+    df: DataFrame, rules: Sequence[Rule], key_sets: Mapping[str, DataFrame]
+) -> DataFrame:
+    names = [name for name in df.columns if not name.endswith(DATE_TEXT)]
+    annotated = df
+    broken: list[Column] = []
+    for position, rule in enumerate(rules):
+        if rule.name not in (UNIQUE, FOREIGN_KEY):
+            broken.append(row_violation(df, rule))
+            continue
+        offending, found = F.col(f"__key_{position}"), f"__found_{position}"
+        keys = key_sets[_set_name(rule, position)].withColumn(found, F.lit(True))
+        key = key_column(df, rule.column)
+        same = key.eqNullSafe(offending) if rule.name == UNIQUE else key == offending
+        annotated = annotated.join(keys, same, "left")
+        hit = F.col(found).isNotNull()
+        broken.append(hit if rule.name == UNIQUE else hit | key.isNull())
+    # Joined arrays stay in generated code, which array_compact and its lambda would leave.
+    none = F.array().cast("array<int>")
+    issues = F.concat(
+        none, *[F.when(hit, F.array(F.lit(i))).otherwise(none) for i, hit in enumerate(broken)]
     )
-    return df.join(written, same, "left"), F.col(found).isNotNull()
+    return annotated.select(*[F.col(f"`{name}`") for name in names], issues.alias(ISSUES))
+
+
+def _set_name(rule: Rule, position: int) -> str:
+    return f"{rule.name}_{position}"

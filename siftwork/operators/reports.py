@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.operators.annotate import ISSUES, annotate
@@ -61,26 +61,24 @@ def quality_summary(
     """Issues, errors and warnings per dataset; datasets without any count zero."""
     parts = []
     for name, df in annotated.items():
-        positions = {
-            severity: [i for i, rule in enumerate(rules.get(name, ())) if rule.severity == severity]
-            for severity in (ERROR, WARNING)
-        }
+        own_rules = rules.get(name, ())
         parts.append(
             df.agg(
                 F.coalesce(F.sum(F.size(ISSUES)), F.lit(0)).alias("issue_count"),
-                _count_positions(positions[ERROR]).alias("error_count"),
-                _count_positions(positions[WARNING]).alias("warning_count"),
+                _count_severity(own_rules, ERROR).alias("error_count"),
+                _count_severity(own_rules, WARNING).alias("warning_count"),
             ).select(F.lit(name).alias("dataset_name"), "*")
         )
     return reduce(DataFrame.unionByName, parts)
 
 
-def _count_positions(positions: Sequence[int]):
-    if not positions:
-        return F.lit(0).cast("bigint")
-    return F.coalesce(
-        F.sum(F.size(F.filter(ISSUES, lambda i: i.isin(*positions)))), F.lit(0)
-    )
+def _count_severity(rules: Sequence[Rule], severity: str) -> Column:
+    """Sum of the issues of one severity, as bigint."""
+    positions = [i for i, rule in enumerate(rules) if rule.severity == severity]
+    if len(positions) == len(rules):
+        return F.coalesce(F.sum(F.size(ISSUES)), F.lit(0))
+    hits = [F.array_contains(ISSUES, i).cast("bigint") for i in positions]
+    return F.coalesce(F.sum(reduce(Column.__add__, hits, F.lit(0).cast("bigint"))), F.lit(0))
 
 
 def required_issues(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
-from siftwork.functions import is_blank, looks_like_email, to_date, to_number
+from siftwork.functions import is_blank, is_malformed_email, to_date, to_number
 from siftwork.functions.casts import DEFAULT_DATE_FORMATS
 
 ERROR = "ERROR"
@@ -94,18 +94,20 @@ def row_violation(df: DataFrame, rule: Rule) -> Column:
     """Condition for rules that look at nothing but the row itself. Never null."""
     column = F.col(f"`{rule.column}`")
     data_type = df.schema[rule.column].dataType
-    if isinstance(data_type, (DoubleType, FloatType)):
-        column = F.when(~F.isnan(column), column)
     is_text = isinstance(data_type, StringType)
+    has_nan = isinstance(data_type, (DoubleType, FloatType))
 
     if rule.name == REQUIRED:
-        return is_blank(column)
+        if is_text:
+            return is_blank(column)
+        return column.isNull() | F.isnan(column) if has_nan else column.isNull()
     if rule.name == EMAIL:
-        text = column.cast("string")
-        return ~is_blank(text) & ~looks_like_email(text)
+        return is_malformed_email(column.cast("string"))
     if rule.name == NUMERIC:
-        number = to_number(column) if is_text else column.cast("double")
-        return number.isNull() | (number < F.lit(rule.min_value))
+        number = to_number(column) if is_text else column
+        fine = number >= F.lit(rule.min_value)
+        # NaN is above every bound in Spark.
+        return ~F.coalesce(fine & ~F.isnan(number) if has_nan else fine, F.lit(False))
     if rule.name == DATE:
         if rule.column + DATE_TEXT in df.columns:
             column, is_text = F.col(f"`{rule.column}{DATE_TEXT}`"), True

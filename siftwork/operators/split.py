@@ -20,7 +20,7 @@ def is_rejected(rules: Sequence[Rule], reject_on: Sequence[str] = REJECT_ALL) ->
         return F.lit(False)
     if len(positions) == len(rules):
         return F.size(ISSUES) > 0
-    return F.exists(ISSUES, lambda i: i.isin(*positions))
+    return F.arrays_overlap(ISSUES, F.array(*[F.lit(i) for i in positions]))
 
 
 def clean_rows(

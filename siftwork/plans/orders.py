@@ -16,9 +16,9 @@ from siftwork.operators.order_checks import (
     rejection_reason_summary,
     typed,
 )
-from siftwork.plans.quality import QualityRun, stage_annotated, staged_part
+from siftwork.plans.quality import QualityRun, stage_annotated, staged_part, write_all
 from siftwork.plans.stage import Stage
-from siftwork.sources import scan_dataset_by_position, write_table, zone_uri
+from siftwork.sources import scan_dataset_by_position
 
 # The outputs of the job and their zones.
 OUTPUTS = {
@@ -47,18 +47,17 @@ def run_orders_job(
     own_stage = stage is None
     stage = stage or Stage(spark)
     try:
-        datasets = {
-            name: stage.table(
-                typed(
+        datasets = stage.tables(
+            {
+                name: typed(
                     source
                     if isinstance(source, DataFrame)
                     else scan_dataset_by_position(spark, name, source, **scan_options),
                     name,
-                ),
-                f"typed_{name}",
-            )
-            for name, source in inputs.items()
-        }
+                )
+                for name, source in inputs.items()
+            }
+        )
         staged, counts = stage_annotated(
             check_orders(datasets, stage), "orders", ORDER_RULES, stage
         )
@@ -75,9 +74,9 @@ def run_orders_job(
             ),
             "spark_rejection_reason_summary": rejection_reason_summary(rejected),
         }
-        run = QualityRun()
-        for name, df in results.items():
-            run.outputs[name] = write_table(df, zone_uri(output, OUTPUTS[name], name), fmt)
+        run = QualityRun(
+            write_all({name: (df, OUTPUTS[name]) for name, df in results.items()}, output, fmt)
+        )
         rejected_count = rejected.agg(F.count(F.lit(1))).first()[0]
         run.row_counts["orders"] = {"clean": counts.get["clean"], "rejected": rejected_count}
         return run

@@ -15,7 +15,7 @@ from siftwork.operators.presets import preset_rules
 from siftwork.operators.reports import issue_report, quality_summary, union_reports
 from siftwork.operators.rules import Rule
 from siftwork.operators.split import REJECT_ALL, is_rejected
-from siftwork.plans.stage import Stage
+from siftwork.plans.stage import Stage, run_together
 from siftwork.sources import load_dataset, write_table, zone_uri
 
 REJECTED = "is_rejected"
@@ -54,6 +54,19 @@ def staged_part(staged: DataFrame, rejected: bool) -> DataFrame:
     return staged.filter(wanted).drop(REJECTED)
 
 
+def write_all(
+    results: Mapping[str, tuple[DataFrame, str]], output: str, fmt: str
+) -> dict[str, str]:
+    """Write each result into its zone below ``output``, side by side."""
+    uris = run_together(
+        [
+            lambda df=df, name=name, zone=zone: write_table(df, zone_uri(output, zone, name), fmt)
+            for name, (df, zone) in results.items()
+        ]
+    )
+    return dict(zip(results, uris))
+
+
 def run_quality_pipeline(
     spark: SparkSession,
     inputs: Mapping[str, str | DataFrame],
@@ -84,9 +97,9 @@ def run_quality_pipeline(
     run = QualityRun()
     try:
         # Text is parsed once; key sets then read single columns of the staged tables.
-        normal = {
-            name: stage.table(
-                normalize(
+        normal = stage.tables(
+            {
+                name: normalize(
                     source
                     if isinstance(source, DataFrame)
                     else load_dataset(spark, name, source, **scan_options),
@@ -94,42 +107,43 @@ def run_quality_pipeline(
                     date_formats=date_formats,
                     text_keys=text_keys,
                     keep_date_text=check_date_text,
+                )
+                for name, source in inputs.items()
+            }
+        )
+        annotated = annotate_all(normal, rules, stage)
+        staged = dict(
+            zip(
+                annotated,
+                run_together(
+                    [
+                        lambda name=name, df=df: stage_annotated(
+                            df, name, rules.get(name, ()), stage, reject_on
+                        )
+                        for name, df in annotated.items()
+                    ]
                 ),
-                f"normal_{name}",
             )
-            for name, source in inputs.items()
-        }
-        annotated = annotate_all(normal, rules, stage)
+        )
 
+        results: dict[str, tuple[DataFrame, str]] = {}
         with_issues: dict[str, DataFrame] = {}
         reports: dict[str, DataFrame] = {}
-        for name, df in annotated.items():
-            own_rules = rules.get(name, ())
-            staged, counts = stage_annotated(df, name, own_rules, stage, reject_on)
+        for name, (table, counts) in staged.items():
             run.row_counts[name] = dict(counts.get)
-            rejected = staged_part(staged, rejected=True)
+            own_rules = rules.get(name, ())
+            clean, rejected = staged_part(table, False), staged_part(table, True)
             # Rows kept in spite of a tolerated issue still belong in the reports.
-            kept_severities = {rule.severity for rule in own_rules} - set(reject_on)
-            with_issues[name] = staged.drop(REJECTED) if kept_severities else rejected
+            tolerated = any(rule.severity not in reject_on for rule in own_rules)
+            with_issues[name] = table.drop(REJECTED) if tolerated else rejected
             reports[name] = issue_report(with_issues[name], name, own_rules)
-            run.outputs[f"clean_{name}"] = write_table(
-                staged_part(staged, rejected=False).drop(ISSUES),
-                zone_uri(output, "processed", f"clean_{name}"),
-                fmt,
-            )
-            run.outputs[f"rejected_{name}"] = write_table(
-                rejected.drop(ISSUES), zone_uri(output, "rejected", f"rejected_{name}"), fmt
-            )
+            results[f"clean_{name}"] = (clean.drop(ISSUES), "processed")
+            results[f"rejected_{name}"] = (rejected.drop(ISSUES), "rejected")
         reports["all_issues"] = union_reports(list(reports.values()))
         for name, report in reports.items():
-            run.outputs[f"{name}_validation_report"] = write_table(
-                report, zone_uri(output, "reports", f"{name}_validation_report"), fmt
-            )
-        run.outputs["quality_summary"] = write_table(
-            quality_summary(with_issues, rules).coalesce(1),
-            zone_uri(output, "reports", "quality_summary"),
-            fmt,
-        )
+            results[f"{name}_validation_report"] = (report, "reports")
+        results["quality_summary"] = (quality_summary(with_issues, rules).coalesce(1), "reports")
+        run.outputs = write_all(results, output, fmt)
         return run
     finally:
         if own_stage:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+JOBS_AT_ONCE = 8
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,6 +23,15 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="siftwork-")
 
 
+def run_together(jobs: Iterable[Callable[[], object]]) -> list:
+    """Run independent jobs side by side, so that the tail of one leaves no executor idle."""
+    jobs = list(jobs)
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(max_workers=min(len(jobs), JOBS_AT_ONCE)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 class Stage:
     """A folder of Parquet tables for one run.
 
@@ -31,11 +43,9 @@ class Stage:
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.uri = f"{(folder or shared_folder(spark)).rstrip('/')}/siftwork-{uuid.uuid4().hex}"
-        self._tables = 0
 
     def path(self, name: str) -> str:
-        self._tables += 1
-        return f"{self.uri}/{self._tables:03d}_{name}"
+        return f"{self.uri}/{name}_{uuid.uuid4().hex[:8]}"
 
     def table(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """Write ``df`` and return a scan of the written table."""
@@ -44,6 +54,13 @@ class Stage:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def tables(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write several tables side by side."""
+        written = run_together(
+            [lambda name=name, df=df: self.table(df, name) for name, df in frames.items()]
+        )
+        return dict(zip(frames, written))
+
     def drop(self) -> None:
         """Delete the run's tables; call it once no DataFrame reads them any more."""
         jvm = self.spark.sparkContext._jvm
