@@ -87,7 +87,7 @@ def numeric_min_acctbal(spark: SparkSession, folder: str) -> DataFrame:
 def unique_lineitem_key(spark: SparkSession, folder: str) -> DataFrame:
     key = ("l_orderkey", "l_linenumber")
     df = source(spark, folder, "lineitem").select(*key, "l_partkey", "l_suppkey", "l_quantity")
-    repeated = Stage(spark).table(duplicate_keys(df, *key), "repeated")
+    repeated = Stage(spark).key_sets({"repeated": duplicate_keys(df, *key)})["repeated"]
     return rows_holding(df, repeated, *key)
 
 

@@ -29,7 +29,7 @@ def annotate(
     are not shuffled. Beyond the broadcast threshold both sides of the sort-merge join
     are plain exchanges, which adaptive execution splits where a key is hot.
     """
-    return _look_up_all(df, rules, stage.tables(_key_sets(df, rules, references)))
+    return _look_up_all(df, rules, stage.key_sets(_key_sets(df, rules, references)))
 
 
 def annotate_all(
@@ -50,7 +50,7 @@ def annotate_all(
         for name, df in datasets.items()
         for key, keys in _key_sets(df, rules.get(name, ()), datasets).items()
     }
-    written = stage.tables({f"{name}_{key}": keys for (name, key), keys in needed.items()})
+    written = stage.key_sets({f"{name}_{key}": keys for (name, key), keys in needed.items()})
     return {
         name: _look_up_all(
             df,

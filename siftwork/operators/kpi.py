@@ -117,11 +117,26 @@ def customer_country_summary(
             )
         )
     else:
-        joined = orders.join(customers.select("customer_id", "country"), "customer_id")
-        grouped = joined.groupBy("country").agg(
-            F.count_distinct("order_id").alias("order_count"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            total("total_amount", "total_revenue"),
+        # Two distinct counts in one aggregate would triple the joined rows; customers are
+        # counted by themselves, from ids that were made distinct before the join.
+        listed = customers.select("customer_id", "country")
+        sales = (
+            orders.join(listed, "customer_id")
+            .groupBy("country")
+            .agg(
+                F.count_distinct("order_id").alias("order_count"),
+                total("total_amount", "total_revenue"),
+            )
+        )
+        seen = (
+            orders.select("customer_id")
+            .distinct()
+            .join(listed.distinct(), "customer_id")
+            .groupBy(F.col("country").alias("seen_country"))
+            .agg(F.count("customer_id").alias("unique_customers"))
+        )
+        grouped = sales.join(seen, F.col("country").eqNullSafe(F.col("seen_country"))).select(
+            "country", "order_count", "unique_customers", "total_revenue"
         )
     return _by_revenue(grouped, "country")
 

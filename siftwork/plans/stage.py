@@ -47,20 +47,38 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}_{uuid.uuid4().hex[:8]}"
 
-    def table(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def table(
+        self,
+        df: DataFrame,
+        name: str,
+        partition_by: str | None = None,
+        compression: str = "snappy",
+    ) -> DataFrame:
         """Write ``df`` and return a scan of the written table."""
         path = self.path(name)
-        writer = df.write.partitionBy(partition_by) if partition_by else df.write
-        writer.parquet(path)
+        writer = df.write.option("compression", compression)
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def tables(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    def tables(
+        self, frames: Mapping[str, DataFrame], compression: str = "snappy"
+    ) -> dict[str, DataFrame]:
         """Write several tables side by side."""
         written = run_together(
-            [lambda name=name, df=df: self.table(df, name) for name, df in frames.items()]
+            [
+                lambda name=name, df=df: self.table(df, name, compression=compression)
+                for name, df in frames.items()
+            ]
         )
         return dict(zip(frames, written))
 
+    def key_sets(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write sets of unique keys, uncompressed so that file size tells memory size.
+
+        The broadcast threshold is compared with the size of the files.
+        """
+        return self.tables(frames, compression="uncompressed")
+
     def drop(self) -> None:
         """Delete the run's tables; call it once no DataFrame reads them any more."""
         jvm = self.spark.sparkContext._jvm

@@ -8,6 +8,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
+from siftwork.__main__ import main
 from siftwork.functions import to_key
 from siftwork.operators.normalize import normalize_all
 from siftwork.plans.orders import run_orders_job
@@ -244,3 +245,21 @@ def test_normalised_types(spark, sample_folder):
         "currency": "string",
     }
     assert {row.currency for row in tables["orders"].collect()} == {"USD"}
+
+
+def test_command_line(spark, sample_folder, tmp_path, capsys):
+    output = str(tmp_path / "out")
+    rules = tmp_path / "rules.yaml"
+    rules.write_text(
+        "orders:\n  foreign_keys:\n    - {column: customer_id, reference_dataset: customers, "
+        "reference_column: customer_id}\n"
+    )
+    main(["quality", sample_folder, output, "--rules", str(rules)])
+    assert "orders: 9 clean, 1 rejected" in capsys.readouterr().out
+    main(["quality", sample_folder, output])
+    main(["orders", sample_folder, output])
+    main(["serving", output])
+    assert "orders: 2 clean, 8 rejected" in capsys.readouterr().out
+    assert spark.table("customer_country_summary").count() == 2
+    for table in ("clean_customers", "clean_products", "clean_orders"):
+        spark.sql(f"DROP TABLE {table}")
