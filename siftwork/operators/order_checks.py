@@ -19,9 +19,11 @@ ORDER_DATE_FORMATS = ("yyyy-MM-dd",)
 # The reasons for which an order is rejected, with the rule behind each.
 REASONS: dict[str, Rule] = {
     "duplicate_order_id": Rule(UNIQUE, "order_id"),
-    "invalid_quantity": Rule(NUMERIC, "quantity", min_value=1),
-    "invalid_total_amount": Rule(NUMERIC, "total_amount", min_value=0),
-    "invalid_order_date": Rule(DATE, "order_date", date_formats=ORDER_DATE_FORMATS),
+    "invalid_quantity": Rule(NUMERIC, "quantity", min_value=1, parsed_column="quantity_double"),
+    "invalid_total_amount": Rule(
+        NUMERIC, "total_amount", min_value=0, parsed_column="total_amount_double"
+    ),
+    "invalid_order_date": Rule(DATE, "order_date", parsed_column="order_date_parsed"),
     "invalid_customer_fk": Rule(
         FOREIGN_KEY, "customer_id", reference_dataset="customers", reference_column="customer_id"
     ),
@@ -58,7 +60,7 @@ def typed(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def check_orders(datasets: Mapping[str, DataFrame], stage: Stage) -> DataFrame:
-    """Orders annotated with the positions in ``REASONS`` of the checks they fail."""
+    """Typed orders annotated with the positions in ``REASONS`` of the checks they fail."""
     return annotate(datasets["orders"], ORDER_RULES, datasets, stage)
 
 

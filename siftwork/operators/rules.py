@@ -52,7 +52,11 @@ DATE_TEXT = "__text"
 
 @dataclass(frozen=True)
 class Rule:
-    """One rule on one column."""
+    """One rule on one column.
+
+    ``parsed_column`` names a column that holds the parsed number or date of ``column``
+    already, so that the rule need not parse it again.
+    """
 
     name: str
     column: str
@@ -61,6 +65,7 @@ class Rule:
     reference_dataset: str | None = None
     reference_column: str | None = None
     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
+    parsed_column: str | None = None
 
     @property
     def message(self) -> str:
@@ -92,8 +97,11 @@ def rules_from_document(
 
 def row_violation(df: DataFrame, rule: Rule) -> Column:
     """Condition for rules that look at nothing but the row itself. Never null."""
-    column = F.col(f"`{rule.column}`")
-    data_type = df.schema[rule.column].dataType
+    if rule.name == DATE and rule.parsed_column:
+        return F.col(f"`{rule.column}`").isNotNull() & F.col(f"`{rule.parsed_column}`").isNull()
+    judged = rule.parsed_column or rule.column
+    column = F.col(f"`{judged}`")
+    data_type = df.schema[judged].dataType
     is_text = isinstance(data_type, StringType)
     has_nan = isinstance(data_type, (DoubleType, FloatType))
 

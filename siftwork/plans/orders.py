@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from siftwork.operators.annotate import ISSUES
 from siftwork.operators.kpi import category_sales, daily_sales
 from siftwork.operators.order_checks import (
-    ORDER_RULES,
     check_orders,
+    clean_orders,
     rejected_orders,
     rejection_reason_summary,
     typed,
 )
-from siftwork.plans.quality import QualityRun, stage_annotated, staged_part, write_all
+from siftwork.plans.quality import QualityRun, counted, write_all
 from siftwork.plans.stage import Stage
 from siftwork.sources import scan_dataset_by_position
 
@@ -58,14 +58,19 @@ def run_orders_job(
                 for name, source in inputs.items()
             }
         )
-        staged, counts = stage_annotated(
-            check_orders(datasets, stage), "orders", ORDER_RULES, stage
+        checked = check_orders(datasets, stage)
+        # Both halves feed several outputs; each is written once, the rejected rows while
+        # they still carry their issues.
+        halves = stage.tables(
+            {"clean": clean_orders(checked), "failed": checked.filter(F.size(ISSUES) > 0)}
         )
-        clean = staged_part(staged, rejected=False).drop(ISSUES)
-        rejected = stage.table(rejected_orders(staged_part(staged, rejected=True)), "rejected")
+        rejected = stage.table(rejected_orders(halves["failed"]), "rejected")
+        clean = halves["clean"]
+        counted_clean, clean_count = counted(clean, "clean_orders")
+        counted_rejected, rejected_count = counted(rejected, "rejected_orders")
         results = {
-            "spark_clean_orders": clean,
-            "spark_rejected_orders": rejected,
+            "spark_clean_orders": counted_clean,
+            "spark_rejected_orders": counted_rejected,
             "spark_daily_sales_kpi": daily_sales(
                 clean, "order_date_parsed", "quantity_double", "total_amount_double"
             ),
@@ -77,8 +82,10 @@ def run_orders_job(
         run = QualityRun(
             write_all({name: (df, OUTPUTS[name]) for name, df in results.items()}, output, fmt)
         )
-        rejected_count = rejected.agg(F.count(F.lit(1))).first()[0]
-        run.row_counts["orders"] = {"clean": counts.get["clean"], "rejected": rejected_count}
+        run.row_counts["orders"] = {
+            "clean": clean_count.get["rows"],
+            "rejected": rejected_count.get["rows"],
+        }
         return run
     finally:
         if own_stage:

@@ -14,13 +14,10 @@ from siftwork.operators.normalize import normalize
 from siftwork.operators.presets import preset_rules
 from siftwork.operators.reports import issue_report, quality_summary, union_reports
 from siftwork.operators.rules import Rule
-from siftwork.operators.split import REJECT_ALL, is_rejected
+from siftwork.operators.split import REJECT_ALL, clean_rows, rejected_rows
 from siftwork.plans.stage import Stage, run_together
 from siftwork.sources import load_dataset, write_table, zone_uri
 
-REJECTED = "is_rejected"
-
-
 @dataclass
 class QualityRun:
     """What a run wrote, and how many rows of each dataset were clean and rejected."""
@@ -29,29 +26,10 @@ class QualityRun:
     row_counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
-def stage_annotated(
-    annotated: DataFrame,
-    dataset: str,
-    rules: Sequence[Rule],
-    stage: Stage,
-    reject_on: Sequence[str] = REJECT_ALL,
-) -> tuple[DataFrame, Observation]:
-    """Write an annotated table once, split into a clean and a rejected partition.
-
-    Each output then reads only its own partition, and the row counts come with the write.
-    """
-    counts = Observation(f"split_{dataset}")
-    flagged = annotated.withColumn(REJECTED, is_rejected(rules, reject_on)).observe(
-        counts,
-        F.count_if(~F.col(REJECTED)).alias("clean"),
-        F.count_if(F.col(REJECTED)).alias("rejected"),
-    )
-    return stage.table(flagged, f"annotated_{dataset}", partition_by=REJECTED), counts
-
-
-def staged_part(staged: DataFrame, rejected: bool) -> DataFrame:
-    wanted = F.col(REJECTED) if rejected else ~F.col(REJECTED)
-    return staged.filter(wanted).drop(REJECTED)
+def counted(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
+    """``df`` with a row count that comes along with its write."""
+    rows = Observation(label)
+    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
 
 
 def write_all(
@@ -112,38 +90,37 @@ def run_quality_pipeline(
             }
         )
         annotated = annotate_all(normal, rules, stage)
-        staged = dict(
-            zip(
-                annotated,
-                run_together(
-                    [
-                        lambda name=name, df=df: stage_annotated(
-                            df, name, rules.get(name, ()), stage, reject_on
-                        )
-                        for name, df in annotated.items()
-                    ]
-                ),
-            )
-        )
 
+        # Looking keys up twice is cheaper than a staged copy of all clean rows. Rows with
+        # issues feed several outputs and are staged.
+        flagged = stage.tables(
+            {f"flagged_{name}": df.filter(F.size(ISSUES) > 0) for name, df in annotated.items()}
+        )
         results: dict[str, tuple[DataFrame, str]] = {}
+        counts: dict[str, tuple[Observation, Observation]] = {}
         with_issues: dict[str, DataFrame] = {}
         reports: dict[str, DataFrame] = {}
-        for name, (table, counts) in staged.items():
-            run.row_counts[name] = dict(counts.get)
+        for name, df in annotated.items():
             own_rules = rules.get(name, ())
-            clean, rejected = staged_part(table, False), staged_part(table, True)
-            # Rows kept in spite of a tolerated issue still belong in the reports.
-            tolerated = any(rule.severity not in reject_on for rule in own_rules)
-            with_issues[name] = table.drop(REJECTED) if tolerated else rejected
+            with_issues[name] = flagged[f"flagged_{name}"]
             reports[name] = issue_report(with_issues[name], name, own_rules)
-            results[f"clean_{name}"] = (clean.drop(ISSUES), "processed")
-            results[f"rejected_{name}"] = (rejected.drop(ISSUES), "rejected")
+            clean, clean_count = counted(clean_rows(df, own_rules, reject_on), f"clean_{name}")
+            rejected, rejected_count = counted(
+                rejected_rows(with_issues[name], own_rules, reject_on), f"rejected_{name}"
+            )
+            results[f"clean_{name}"] = (clean, "processed")
+            results[f"rejected_{name}"] = (rejected, "rejected")
+            counts[name] = (clean_count, rejected_count)
         reports["all_issues"] = union_reports(list(reports.values()))
         for name, report in reports.items():
             results[f"{name}_validation_report"] = (report, "reports")
         results["quality_summary"] = (quality_summary(with_issues, rules).coalesce(1), "reports")
         run.outputs = write_all(results, output, fmt)
+        for name, (clean_count, rejected_count) in counts.items():
+            run.row_counts[name] = {
+                "clean": clean_count.get["rows"],
+                "rejected": rejected_count.get["rows"],
+            }
         return run
     finally:
         if own_stage:

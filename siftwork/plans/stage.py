@@ -47,17 +47,10 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}_{uuid.uuid4().hex[:8]}"
 
-    def table(
-        self,
-        df: DataFrame,
-        name: str,
-        partition_by: str | None = None,
-        compression: str = "snappy",
-    ) -> DataFrame:
+    def table(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         """Write ``df`` and return a scan of the written table."""
         path = self.path(name)
-        writer = df.write.option("compression", compression)
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        df.write.option("compression", compression).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def tables(

@@ -153,7 +153,10 @@ def test_rejected_orders_keep_one_row_per_id_and_reason(spark, stage):
         "customers": spark.createDataFrame([("1",)], "customer_id string"),
         "products": spark.createDataFrame([("1",)], "product_id string"),
     }
-    checked = order_checks.check_orders({"orders": orders, **keys}, stage)
+    checked = order_checks.check_orders(
+        {"orders": order_checks.typed(orders, "orders"), **keys}, stage
+    )
+    checked = checked.select(*names, ISSUES)
     got = sorted(str(tuple(row)) for row in order_checks.rejected_orders(checked).collect())
 
     kept = {}
