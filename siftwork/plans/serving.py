@@ -12,6 +12,7 @@ from siftwork.operators.kpi import (
     customer_country_summary,
     daily_sales_kpi,
 )
+from siftwork.plans.stage import run_together
 from siftwork.sources import write_table
 
 # The serving tables and the types of their columns.
@@ -81,15 +82,19 @@ def publish_serving(
     ``clean`` maps ``customers``, ``products`` and ``orders`` to their clean rows. Tables
     go to the catalog, or to Parquet below ``folder`` with temporary views on top.
     """
-    tables = {}
-    for table in SERVING_TABLES:
+
+    def publish(table: str) -> DataFrame:
         df = serving_frame(clean[table.removeprefix("clean_")], table, text_keys)
         if folder is None:
             df.write.mode("overwrite").format("parquet").saveAsTable(table)
-            tables[table] = spark.table(table)
-        else:
-            uri = write_table(df, f"{folder.rstrip('/')}/{table}", "parquet")
-            tables[table] = spark.read.schema(df.schema).parquet(uri)
-            tables[table].createOrReplaceTempView(table)
+            return spark.table(table)
+        uri = write_table(df, f"{folder.rstrip('/')}/{table}", "parquet")
+        return spark.read.schema(df.schema).parquet(uri)
+
+    published = run_together([lambda table=table: publish(table) for table in SERVING_TABLES])
+    tables = dict(zip(SERVING_TABLES, published))
+    if folder is not None:
+        for table, df in tables.items():
+            df.createOrReplaceTempView(table)
     create_kpi_views(spark, tables, orders_unique)
     return tables
