@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from siftwork.sources.contract import EXPECTED_COLUMNS, check_columns, text_schema
 
 CORRUPT_COLUMN = "_corrupt_record"
+PAD = "PAD"
+_ROW_END = "\x01end of row"
 
 # Cell texts that stand for a missing value.
 NULL_TOKENS = (
@@ -57,7 +59,7 @@ def scan_csv(
     *,
     schema: StructType | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
-    mode: str = "FAILFAST",
+    mode: str = PAD,
     pattern: str | None = None,
     recursive: bool = False,
     multi_line: bool = False,
@@ -66,15 +68,18 @@ def scan_csv(
     """Scan headed CSV from any storage URI; a file, a folder or several of them.
 
     Columns take their names from the header, and each file's header is checked against
-    the first, so files with shuffled columns fail instead of being read askew. With
-    FAILFAST a row of the wrong length ends the job; with PERMISSIVE it is padded or cut
-    and its text is kept in ``_corrupt_record``. ``multi_line`` allows line breaks inside
-    quotes, at the price of one task per file.
+    the first, so files with shuffled columns fail instead of being read askew.
+
+    With PAD a row with too few fields is filled up with nulls and one with too many ends
+    the job. With FAILFAST both end the job. With PERMISSIVE both are read, padded or cut,
+    and their text is kept in ``_corrupt_record``. ``multi_line`` allows line breaks
+    inside quotes, at the price of one task per file.
     """
+    keeps_text = mode.upper() in (PAD, "PERMISSIVE")
     reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
-        .option("mode", mode)
+        .option("mode", "PERMISSIVE" if keeps_text else mode)
         .option("escape", escape)
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", recursive)
@@ -87,7 +92,7 @@ def scan_csv(
         if schema is None:
             header = reader.csv(uri).columns
             schema = StructType([StructField(name, StringType(), True) for name in header])
-        if mode.upper() == "PERMISSIVE":
+        if keeps_text:
             schema = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         scanned = reader.schema(schema).csv(uri)
@@ -95,9 +100,39 @@ def scan_csv(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"File not found: {uri}") from error
         raise
+    if mode.upper() == PAD:
+        scanned = scanned.filter(_is_whole_or_short(scanned, escape)).drop(CORRUPT_COLUMN)
     return missing_to_null(scanned, null_tokens)
 
 
+def _is_whole_or_short(scanned: DataFrame, escape: str) -> Column:
+    """True for rows to keep; raises an error for a malformed row that is not just short.
+
+    The text of a malformed row is parsed once more with a mark behind it. In a short row
+    the mark lands in one of the columns.
+    """
+    names = [name for name in scanned.columns if name != CORRUPT_COLUMN]
+    text = F.col(CORRUPT_COLUMN)
+    fields = F.from_csv(
+        F.concat(text, F.lit(f",{_ROW_END}")),
+        ", ".join(f"c{i} string" for i in range(len(names))),
+        {"mode": "PERMISSIVE", "escape": escape},
+    )
+    is_short = F.exists(
+        F.array(fields),
+        lambda row: F.array_contains(
+            F.array(*[F.coalesce(row[f"c{i}"], F.lit("")) for i in range(len(names))]), _ROW_END
+        ),
+    )
+    # The message names a column because Spark refuses scans of the text column alone,
+    # which is all that a count would otherwise read.
+    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))
+    too_long = F.raise_error(
+        F.concat(F.lit(f"Expected {len(names)} fields, in the row of '"), first, F.lit("': "), text)
+    )
+    return F.when(text.isNull() | is_short, True).otherwise(too_long.cast("boolean"))
+
+
 def scan_dataset_by_position(
     spark: SparkSession, dataset: str, uri: str, **options: object
 ) -> DataFrame:

@@ -53,6 +53,26 @@ def test_row_with_too_many_fields_fails_even_for_a_narrow_query(spark, tmp_path)
         scan_csv(spark, uri).select("a").collect()
 
 
+@pytest.mark.parametrize("long", ["1,2,3", "1,2,", "1,2,,", '1,"2,2",3', ",,", "1,2,3,4"])
+def test_short_rows_are_padded_and_long_rows_fail(spark, tmp_path, long):
+    short = write(tmp_path / "short.csv", 'a,b\n1,2\n4\n"5,5"\n6,\n')
+    df = scan_csv(spark, short)
+    assert {tuple(r) for r in df.collect()} == {("1", "2"), ("4", None), ("5,5", None), ("6", None)}
+    assert df.columns == ["a", "b"]
+    assert df.count() == 4
+    assert df.select("b").count() == 4
+    bad = scan_csv(spark, write(tmp_path / "long.csv", f"a,b\n1,2\n{long}\n"))
+    for query in (bad, bad.select("b"), bad.groupBy().count()):
+        with pytest.raises(FAILURES):
+            query.collect()
+
+
+def test_failfast_scan_fails_on_short_rows(spark, tmp_path):
+    uri = write(tmp_path / "t.csv", "a,b\n1,2\n4\n")
+    with pytest.raises(FAILURES):
+        scan_csv(spark, uri, mode="FAILFAST").collect()
+
+
 def test_permissive_scan_keeps_malformed_rows(spark, tmp_path):
     uri = write(tmp_path / "t.csv", "a,b\n1,2\n1,2,3\n4\n")
     rows = {tuple(r) for r in scan_csv(spark, uri, mode="PERMISSIVE").collect()}
