@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import pathlib
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The driver may load this file from elsewhere.
+sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
+
 from dirty_tables import raw_table, raw_tables, source
 from oracle_queries import ORACLE
 from siftwork.operators import kpi, order_checks, reports
