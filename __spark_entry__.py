@@ -27,6 +27,16 @@ from siftwork.plans.serving import publish_serving
 from siftwork.plans.stage import Stage
 from siftwork.sources import load_dataset, scan_zone, write_table
 
+# The operators for training data are optional: without their folder the rest works.
+try:
+    from siftwork.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 RULES = preset_rules()
@@ -296,6 +306,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    out = core_queries()
+    if llm_queries is not None:
+        out |= llm_queries.queries()
+    if corpus_pipeline is not None:
+        out["pipeline"] = corpus_pipeline.run
+    return out
+
+
+def core_queries() -> dict[str, Query]:
     return {
         "required_issues": required_issues,
         "unique_issues": unique_issues,
@@ -346,4 +365,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    out = dict(ORACLE)
+    if llm_queries is not None:
+        out |= llm_queries.oracle_sql()
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
