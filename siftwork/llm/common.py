@@ -75,25 +75,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, looked up in C once a word is known; bounded in size."""
-
-    LIMIT = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 class RollingHashes:
-    """Hashes of all stretches of a sequence of unit hashes, from weighted prefix sums.
+    """64-bit hashes of all stretches of a sequence of unit hashes, from weighted prefix sums.
 
     The hash of units i..i+w is the sum of unit times base**(position - i) modulo 2**64. Unit
     hashes must be random 64-bit values, and the base odd.
@@ -130,6 +113,27 @@ class RollingHashes:
         return mixed((sums[ends] - sums[starts]) * self.inverses[starts] + length)
 
 
+_seeded = np.random.Generator(np.random.PCG64(20240229))
+#: A random 64-bit value for each byte, and the same with letters A-Z as a-z.
+BYTE_VALUES = _seeded.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+LOWER_VALUES = BYTE_VALUES[[c + 32 if 65 <= c <= 90 else c for c in range(256)]]
+IS_SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
+_letters = RollingHashes(0x5851F42D4C957F2D)
+
+
+def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the words between ASCII white space, computed from bytes at once."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    inside = np.zeros(len(data) + 2, dtype=np.int8)
+    inside[1:-1] = ~IS_SPACE[data]
+    edges = np.diff(inside)
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    sums = _letters.sums((LOWER_VALUES if lower else BYTE_VALUES)[data])
+    return _letters.stretches(sums, starts, ends)
+
+
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbours, by doubling."""
     out, have = values, 1

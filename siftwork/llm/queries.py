@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from siftwork.llm import bpe, decontaminate, exact_dedup
+from siftwork.llm import bpe, decontaminate, exact_dedup, jaccard_join, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
     return {
         "op2_bpe": bpe.op2_bpe,
+        "op3_jaccard_join": jaccard_join.op3_jaccard_join,
+        "op4_substring_dedup": substring_dedup.op4_substring_dedup,
+        "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     }
