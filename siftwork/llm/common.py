@@ -169,11 +169,14 @@ def repeated_cells(cells: DataFrame, width_bits: int) -> np.ndarray:
     """
     if not 6 <= width_bits <= 30:
         raise ValueError("width_bits must lie between 6 and 30")
+    counted = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
+    return cell_bitmap(counted, width_bits)
+
+
+def cell_bitmap(cells: DataFrame, width_bits: int) -> np.ndarray:
+    """2**width_bits bits, set where ``cells`` has the number in its column ``cell``."""
     words = (
-        cells.groupBy("cell")
-        .agg(F.count("*").alias("n"))
-        .filter("n > 1")
-        .groupBy(F.shiftright("cell", 6).cast("int").alias("word"))
+        cells.groupBy(F.shiftright("cell", 6).cast("int").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits"))
         .toArrow()
     )

@@ -30,11 +30,11 @@ from siftwork.llm.common import (
     BYTE_VALUES,
     as_binary,
     batches_of,
+    cell_bitmap,
     flagged,
     read,
     records,
     repeated_cells,
-    runs_of,
 )
 from siftwork.llm.substring_dedup import marked, spans_by_text, with_key
 from siftwork.llm.window_runs import cells_of, window_runs
@@ -46,7 +46,7 @@ GRAM = 32
 #: Cells of the bitmap of fingerprints.
 BITS = 26
 #: Suffixes that a bucket is meant to hold, and those of one fingerprint in one bucket.
-BUCKET, SHARE = 60_000, 10_000
+BUCKET, SHARE = 60_000, 30_000
 
 FLAGGED = pa.schema(
     [
@@ -112,8 +112,8 @@ def flagged_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
 def factor_lengths(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(longest previous, longest next factor) of each row, rows being suffixes by position.
 
-    Suffixes are sorted, and neighbours' common prefixes give those of any two as a minimum. Taking
-    positions out of a linked list, the last first, leaves the nearest smaller ones beside each.
+    Suffixes are sorted, and neighbours' common prefixes give those of any two as a minimum. The
+    nearest smaller positions on both sides come from pointers that jump over larger ones.
     """
     n, width = strings.shape
     if n < 2:
@@ -122,24 +122,35 @@ def factor_lengths(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ranked = strings[order]
     differs = ranked[1:] != ranked[:-1]
     common = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
-    return _previous(order, common, n), _previous(n - 1 - order, common, n)[::-1]
-
-
-def _previous(order: np.ndarray, common: np.ndarray, n: int) -> np.ndarray:
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.arange(n)
-    # Slots 0 and n + 1 are sentinels; shared[r] is the prefix of slot r and the one before.
-    before, after = list(range(-1, n + 1)), list(range(1, n + 3))
-    shared = [0, 0, *common.tolist(), 0]
-    out = [0] * n
-    for position in range(n - 1, -1, -1):
-        r = int(rank[position]) + 1
-        p, q = before[r], after[r]
-        own, following = shared[r], shared[q]
-        out[position] = own if own > following else following
-        shared[q] = own if own < following else following
-        after[p], before[q] = q, p
-    return np.array(out, dtype=np.int64)
+    previous, following = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
+    previous[order] = _nearest_before(order, common)
+    following[order] = _nearest_before(-order, common)
+    return previous, following
+
+
+def _nearest_before(positions: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For suffixes in order, the longest prefix shared with one of a smaller position."""
+    up = _prefix_to_smaller(positions, np.concatenate(([0], common)))
+    down = _prefix_to_smaller(positions[::-1], np.concatenate(([0], common[::-1])))
+    return np.maximum(up, down[::-1])
+
+
+def _prefix_to_smaller(positions: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Prefix shared with the nearest smaller position before; ``shared`` is that with the last.
+
+    All between a pointer and its owner are larger than the owner. A pointer to a larger one may
+    therefore move on to where that one points.
+    """
+    pointer = np.arange(len(positions)) - 1
+    shared = shared.copy()
+    moving = np.arange(len(positions))
+    while len(moving):
+        at = pointer[moving]
+        moving = moving[(at >= 0) & (positions[at] > positions[moving])]
+        at = pointer[moving]
+        shared[moving] = np.minimum(shared[moving], shared[at])
+        pointer[moving] = pointer[at]
+    return np.where(pointer >= 0, shared, 0)
 
 
 def _dealt(edges: DataFrame, width: int) -> DataFrame:
@@ -213,20 +224,40 @@ def repeated_spans(
     heads = contents.join(several, "anchor").select(F.col("head").alias("run"), "shares")
     total = several.agg(F.sum("windows")).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET))
-    edges = runs.join(heads, "run").select(
-        "doc_id", "text_key", "start", "bytes", "anchor", "shares"
+    # Only the heads' bytes are moved: a bitmap of fixed size drops most other runs before.
+    cell = F.shiftrightunsigned(F.xxhash64("run"), 64 - BITS)
+    bitmap = docs.sparkSession.sparkContext.broadcast(
+        cell_bitmap(heads.select(cell.alias("cell")), BITS)
+    )
+
+    def is_head(batches):
+        for batch in batches:
+            cells = batch.column("cell").to_numpy().astype(np.uint64)
+            yield batch.filter(pa.array(flagged(bitmap.value, cells)))
+
+    likely = runs.select("run", "doc_id", "text_key", "start", "bytes", "anchor", cell.alias("cell"))
+    edges = (
+        likely.mapInArrow(is_head, likely.schema)
+        .join(heads, "run")
+        .select("doc_id", "text_key", "start", "bytes", "anchor", "shares")
     )
     dealt = _dealt(edges, width).withColumn("bucket", F.pmod(F.xxhash64("bucket"), F.lit(buckets)))
     ends = dealt.groupBy("bucket").applyInArrow(
-        _bucket_spans(width), "doc_id bigint, text_key bigint, start int, end int"
+        _bucket_spans(width), "doc_id bigint, text_key bigint, spans array<struct<start: int, end: int>>"
     )
-    return whole.union(ends)
+    return whole.union(ends.selectExpr("doc_id", "text_key", "inline(spans)"))
+
+
+def _spans(places: np.ndarray, width: int) -> list[dict[str, int]]:
+    """Starts of windows as stretches, joined where windows meet or overlap."""
+    cuts = np.flatnonzero(np.diff(places) > width) + 1
+    firsts, lasts = places[np.append(0, cuts)], places[np.append(cuts, len(places)) - 1]
+    return [{"start": int(a), "end": int(b) + width} for a, b in zip(firsts, lasts)]
 
 
 def _bucket_spans(width: int):
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]
-    )
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(span))])
 
     def find(table: pa.Table) -> pa.Table:
         ids, keys = table["doc_id"].to_pylist(), table["text_key"].to_pylist()
@@ -242,10 +273,9 @@ def _bucket_spans(width: int):
         for i, own in enumerate(offsets):
             places = own[repeated[at : at + len(own)]]
             at += len(own)
-            for a, b in zip(*runs_of(places - np.arange(len(places)))):
-                start = firsts[i] + int(places[a])
-                out.append((ids[i], keys[i], start, firsts[i] + int(places[b - 1]) + width))
-        columns = zip(*out) if out else [[], [], [], []]
+            if len(places):
+                out.append((ids[i], keys[i], _spans(places + firsts[i], width)))
+        columns = zip(*out) if out else [[], [], []]
         return pa.Table.from_arrays(
             [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
         )
