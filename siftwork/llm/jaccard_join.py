@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,9 +110,11 @@ def document_counts(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        for _, text in records(batches):
-            cells = shingle_set(text, width) & np.uint64(len(total) - 1)
-            np.add.at(total, cells, 1)
+        for batch in batches:
+            found = [shingle_set(text, width) for _, text in records([batch])]
+            if found:
+                cells = (np.concatenate(found) & np.uint64(len(total) - 1)).astype(np.int64)
+                total += np.bincount(cells, minlength=len(total))
         if total.any():
             packed = np.minimum(total, 0xFFFF).astype(np.uint16).tobytes()
             yield pa.RecordBatch.from_pydict({"counts": pa.array([packed], pa.binary())})
@@ -164,15 +167,17 @@ def probe(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -> Da
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+
         def rows():
             last, long_lists = None, None
             for batch in batches:
                 a, b, text_a, text_b = (batch.column(i) for i in range(4))
                 for i, (one, other) in enumerate(zip(a.to_pylist(), b.to_pylist())):
                     if other != last:
-                        long_lists = shingle_set(text_b[i].as_py(), width)
+                        long_lists = shingle_set(unpack(text_b[i].as_py()), width)
                         last = other
-                    query = shingle_set(text_a[i].as_py(), width)
+                    query = shingle_set(unpack(text_a[i].as_py()), width)
                     if similar(query, long_lists, similarity):
                         yield one, other
 
@@ -184,6 +189,17 @@ def probe(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -> Da
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id and the compressed text: texts travel with pairs, and this halves what is moved."""
+    schema = pa.schema([("doc_id", pa.int64()), ("bytes", pa.binary())])
+
+    def pack(batches):
+        compress = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
+        return batches_of(((i, compress(text)) for i, text in records(batches)), schema)
+
+    return docs.select("doc_id", "text").mapInArrow(pack, "doc_id bigint, bytes binary")
+
+
 def similar(query: np.ndarray, other: np.ndarray, similarity: int) -> bool:
     n, m = len(query), len(other)
     if not n or not m or 100 * min(n, m) < similarity * max(n, m):
@@ -194,13 +210,17 @@ def similar(query: np.ndarray, other: np.ndarray, similarity: int) -> bool:
     return 100 * shared >= similarity * (n + m - shared)
 
 
-def _stars(lists: DataFrame, pick) -> DataFrame:
+def _stars(lists: DataFrame, pick, similarity: int) -> DataFrame:
     """Pairs (a, b) of each list's members with one member of their size or of the next smaller."""
-    hubs = lists.groupBy("shingle", "size_class").agg(pick("doc_id").alias("hub"))
+    hubs = lists.groupBy("shingle", "size_class").agg(pick(F.struct("doc_id", "n_shingles")).alias("hub"))
+    hubs = hubs.select(
+        "shingle", "size_class", F.col("hub.doc_id").alias("hub"), F.col("hub.n_shingles").alias("m")
+    )
     next_class = hubs.withColumn("size_class", F.col("size_class") + 1)
     return (
         lists.join(hubs.union(next_class), ["shingle", "size_class"])
         .filter("doc_id <> hub")
+        .filter(100 * F.least("n_shingles", "m") >= similarity * F.greatest("n_shingles", "m"))
         .select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b"))
         .distinct()
     )
@@ -236,7 +256,7 @@ def _rest(lists: DataFrame, similarity: int) -> DataFrame:
         small.join(large, ["shingle", "size_class"])
         .filter("of_a <> of_b and (n < m or n = m and a < b)")
         .filter(100 * F.col("n") >= similarity * F.col("m"))
-        .select("a", "b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
 
@@ -267,33 +287,31 @@ def find_links(
     )
     active = lists.select(F.col("doc_id").alias("listed_id")).distinct()
     texts = stage.table(
-        plain.join(active, F.col("doc_id") == F.col("listed_id"), "left_semi").select(
-            "doc_id", F.col("text").cast("binary").alias("bytes")
-        ),
-        "texts", "zstd",
+        _packed(plain.join(active, F.col("doc_id") == F.col("listed_id"), "left_semi")),
+        "texts", "uncompressed",
     )
-    edges = stage.table(probe(_stars(lists, F.min), texts, width, similarity), "links", "zstd")
-    found = components(edges, stage)
-    for pick in itertools.cycle((F.max, F.min)):
+    edges = tried = None
+    left, found, last = lists, None, False
+    for pick in itertools.cycle((F.min, F.max)):
+        pairs = _rest(left, similarity) if last else _stars(left, pick, similarity)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stage.table(pairs, "pairs", "zstd")
+        links = stage.table(probe(pairs, texts, width, similarity), "links", "zstd")
+        tried = pairs if tried is None else tried.union(pairs)
+        joined = links.count() > 0
+        if joined or edges is None:
+            edges = links if edges is None else edges.union(links)
+            found = components(edges, stage)
+        if last:
+            return listed, found
         left = stage.table(_mixed(lists, found), "mixed", "zstd")
         n = left.groupBy("shingle").count().agg(F.sum("count"), F.sum(F.expr("count * count")))
         members, all_pairs = n.first()
         if not members:
             return listed, found
-        last = all_pairs <= PAIRS_A_MEMBER * members
-        pairs = _rest(left, similarity) if last else _stars(left, pick)
-        more = stage.table(probe(pairs, texts, width, similarity), "links", "zstd")
-        known = edges.count()
-        edges = stage.table(edges.union(more).distinct(), "links", "zstd")
-        if edges.count() > known:
-            found = components(edges, stage)
-        elif not last:
-            # Stars join nothing any more, so what is left are lists of unlike documents.
-            pairs = _rest(left, similarity)
-            edges = edges.union(stage.table(probe(pairs, texts, width, similarity), "links", "zstd"))
-            return listed, components(edges, stage)
-        if last:
-            return listed, found
+        # Where stars join nothing any more, what is left are lists of unlike documents.
+        last = not joined or all_pairs <= PAIRS_A_MEMBER * members
 
 
 def near_duplicates(docs: DataFrame, stage: Stage, **options) -> DataFrame:
