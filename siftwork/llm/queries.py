@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from siftwork.llm import bpe, decontaminate, exact_dedup, jaccard_join, substring_dedup, suffix_dedup
+from siftwork.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    lm_score,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_bpe": bpe.op2_bpe,
         "op3_jaccard_join": jaccard_join.op3_jaccard_join,
         "op4_substring_dedup": substring_dedup.op4_substring_dedup,
         "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
         "op6_decontamination": decontaminate.op6_decontamination,
+        "op7_language_id": language_id.op7_language_id,
+        "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+        "op10_lm_score": lm_score.op10_lm_score,
     }
 
 
