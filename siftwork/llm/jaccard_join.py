@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwork.llm.common import (
@@ -53,7 +53,7 @@ SHINGLE_WORDS = 4
 #: Similarity in hundredths.
 SIMILARITY = 85
 #: Cells of the sketch of document counts, by which shingles are ordered.
-SKETCH_BITS = 18
+SKETCH_BITS = 21
 #: Cells of the bitmap that tells which short lists have a second document.
 CELL_BITS = 26
 
@@ -67,7 +67,7 @@ LISTED = pa.schema(
         ("doc_id", pa.int64()),
         ("n_shingles", pa.int64()),
         ("shingles", pa.list_(pa.int64())),
-        ("n_index", pa.int32()),
+        ("places", pa.list_(pa.int32())),
     ]
 )
 
@@ -85,20 +85,12 @@ def ceil_share(n: np.ndarray | int, share: int, whole: int):
     return -(-n * share // whole)
 
 
-def short_lists(
-    shingles: np.ndarray, counts: np.ndarray, similarity: int
-) -> tuple[np.ndarray, int]:
-    """The shingles whose lists are short, rarest first, and how many serve larger partners.
-
-    Towards partners of any size T is at least s * n. Towards partners of n or more shingles it
-    is at least 2 s / (1 + s) * n, so fewer lists are needed.
-    """
+def short_lists(shingles: np.ndarray, counts: np.ndarray, similarity: int) -> np.ndarray:
+    """The shingles whose lists are short, rarest first: towards any partner T is s * n or more."""
     n = len(shingles)
-    n_probe = n - ceil_share(n, similarity, 100) + 1
-    n_index = n - ceil_share(2 * n, similarity, 100 + similarity) + 1
     cells = shingles & np.uint64(len(counts) - 1)
-    order = np.lexsort((shingles, counts[cells]))[:n_probe]
-    return shingles[order], n_index
+    order = np.lexsort((shingles, counts[cells]))
+    return shingles[order[: n - ceil_share(n, similarity, 100) + 1]]
 
 
 def bitmap_cells(shingles: np.ndarray) -> np.ndarray:
@@ -109,20 +101,20 @@ def document_counts(docs: DataFrame, width: int) -> np.ndarray:
     """Sketch of how many documents hold a shingle: 2**SKETCH_BITS sums, merged as a tree."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        total = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
         for batch in batches:
             found = [shingle_set(text, width) for _, text in records([batch])]
             if found:
                 cells = (np.concatenate(found) & np.uint64(len(total) - 1)).astype(np.int64)
-                total += np.bincount(cells, minlength=len(total))
+                total += np.bincount(cells, minlength=len(total)).astype(np.int32)
         if total.any():
             packed = np.minimum(total, 0xFFFF).astype(np.uint16).tobytes()
             yield pa.RecordBatch.from_pydict({"counts": pa.array([packed], pa.binary())})
 
     parts = docs.mapInArrow(count, "counts binary").rdd.map(
-        lambda row: np.frombuffer(row.counts, dtype=np.uint16).astype(np.int64)
+        lambda row: np.frombuffer(row.counts, dtype=np.uint16).astype(np.uint32)
     )
-    zero = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    zero = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
     return parts.treeAggregate(zero, lambda a, b: a + b, lambda a, b: a + b)
 
 
@@ -135,8 +127,9 @@ def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> D
         for batch in batches:
             found = [np.zeros(0, dtype=np.uint64)]
             for _, text in records([batch]):
-                shingles, _ = short_lists(shingle_set(text, width), counts.value, similarity)
-                found.append(bitmap_cells(shingles))
+                shingles = shingle_set(text, width)
+                if len(shingles):
+                    found.append(bitmap_cells(short_lists(shingles, counts.value, similarity)))
             cell = np.concatenate(found).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"cell": pa.array(cell)})
 
@@ -150,15 +143,15 @@ def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> D
                 shingles = shingle_set(text, width)
                 n = len(shingles)
                 if not n:
-                    yield doc_id, 0, [], 0
+                    yield doc_id, 0, [], []
                     continue
-                short, n_index = short_lists(shingles, counts.value, similarity)
-                shared = flagged(bitmap.value, bitmap_cells(short))
-                yield doc_id, n, short[shared].view(np.int64), int(shared[:n_index].sum())
+                short = short_lists(shingles, counts.value, similarity)
+                places = np.flatnonzero(flagged(bitmap.value, bitmap_cells(short)))
+                yield doc_id, n, short[places].view(np.int64), places
 
         return batches_of(rows(), LISTED)
 
-    ddl = "doc_id bigint, n_shingles bigint, shingles array<bigint>, n_index int"
+    ddl = "doc_id bigint, n_shingles bigint, shingles array<bigint>, places array<int>"
     return stage.table(docs.mapInArrow(lists, ddl), "lists", "zstd")
 
 
@@ -210,17 +203,31 @@ def similar(query: np.ndarray, other: np.ndarray, similarity: int) -> bool:
     return 100 * shared >= similarity * (n + m - shared)
 
 
+def _can_share(similarity: int) -> Column:
+    """Whether sets of n and m shingles, with a shared one at places i and j, can share T.
+
+    Both are in one order, so if this is their first shared shingle no more than n - i and m - j
+    can be shared. A pair that reaches T meets in the list of its first shared one.
+    """
+    enough = F.expr(f"ceil({similarity} * (n + m) / {100 + similarity})")
+    near = 100 * F.least("n", "m") >= similarity * F.greatest("n", "m")
+    return near & (F.col("n") - F.col("i") >= enough) & (F.col("m") - F.col("j") >= enough)
+
+
 def _stars(lists: DataFrame, pick, similarity: int) -> DataFrame:
     """Pairs (a, b) of each list's members with one member of their size or of the next smaller."""
-    hubs = lists.groupBy("shingle", "size_class").agg(pick(F.struct("doc_id", "n_shingles")).alias("hub"))
+    member = F.struct("doc_id", "n_shingles", "place")
+    hubs = lists.groupBy("shingle", "size_class").agg(pick(member).alias("hub"))
     hubs = hubs.select(
-        "shingle", "size_class", F.col("hub.doc_id").alias("hub"), F.col("hub.n_shingles").alias("m")
+        "shingle", "size_class", F.col("hub.doc_id").alias("hub"),
+        F.col("hub.n_shingles").alias("m"), F.col("hub.place").alias("j"),
     )
     next_class = hubs.withColumn("size_class", F.col("size_class") + 1)
     return (
-        lists.join(hubs.union(next_class), ["shingle", "size_class"])
+        lists.withColumnsRenamed({"n_shingles": "n", "place": "i"})
+        .join(hubs.union(next_class), ["shingle", "size_class"])
         .filter("doc_id <> hub")
-        .filter(100 * F.least("n_shingles", "m") >= similarity * F.greatest("n_shingles", "m"))
+        .filter(_can_share(similarity))
         .select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b"))
         .distinct()
     )
@@ -229,7 +236,7 @@ def _stars(lists: DataFrame, pick, similarity: int) -> DataFrame:
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
     """Members of lists in which more than one component is left, with their component."""
     placed = lists.join(found, lists["doc_id"] == found["node"], "left").select(
-        "shingle", "doc_id", "n_shingles", "size_class", "is_index",
+        "shingle", "doc_id", "n_shingles", "size_class", "place",
         F.coalesce("component", "doc_id").alias("component"),
     )
     open_lists = (
@@ -243,19 +250,21 @@ def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
 
 def _rest(lists: DataFrame, similarity: int) -> DataFrame:
     """All pairs of different components that a short list brings together."""
-    small = lists.filter("is_index").select(
+    small = lists.select(
         "shingle", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"),
         F.col("component").alias("of_a"), F.col("size_class").alias("size_class"),
+        F.col("place").alias("i"),
     )
     large = lists.select(
         "shingle", F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"),
         F.col("component").alias("of_b"),
         F.explode(F.array("size_class", F.col("size_class") - 1)).alias("size_class"),
+        F.col("place").alias("j"),
     )
     return (
         small.join(large, ["shingle", "size_class"])
         .filter("of_a <> of_b and (n < m or n = m and a < b)")
-        .filter(100 * F.col("n") >= similarity * F.col("m"))
+        .filter(_can_share(similarity))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
@@ -277,11 +286,11 @@ def find_links(
     size_class = F.floor(log_size / float(np.log(100 / similarity))).cast("int")
     lists = stage.table(
         listed.filter("size(shingles) > 0 and doc_id is not null").select(
-            "doc_id", "n_shingles", size_class.alias("size_class"), "n_index",
-            F.posexplode("shingles").alias("place", "shingle"),
+            "doc_id", "n_shingles", size_class.alias("size_class"),
+            F.explode(F.arrays_zip("shingles", "places")).alias("at"),
         ).select(
-            "shingle", "doc_id", "n_shingles", "size_class",
-            (F.col("place") < F.col("n_index")).alias("is_index"),
+            F.col("at.shingles").alias("shingle"), "doc_id", "n_shingles", "size_class",
+            F.col("at.places").alias("place"),
         ),
         "members", "zstd",
     )
