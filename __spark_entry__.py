@@ -20,6 +20,7 @@ from siftwork.operators.keys import duplicate_keys, rows_holding
 from siftwork.operators.normalize import normalize, normalize_all
 from siftwork.operators.order_checks import typed
 from siftwork.operators.presets import preset_rules
+from siftwork.operators.rules import NUMERIC, Rule
 from siftwork.operators.split import clean_rows, is_rejected, rejected_rows
 from siftwork.plans.orders import run_orders_job
 from siftwork.plans.quality import run_quality_pipeline
@@ -183,6 +184,23 @@ def clean_customers_errors_only(spark: SparkSession, folder: str) -> DataFrame:
     return clean_rows(annotated, RULES["customers"], reject_on=("ERROR",))
 
 
+def rejected_orders_other_severity(spark: SparkSession, folder: str) -> DataFrame:
+    """A rule of a severity of one's own rejects like any other."""
+    rules = [Rule(NUMERIC, "quantity", severity="CRITICAL", min_value=1)]
+    orders = normalize(raw_table(spark, folder, "orders"), "orders")
+    return rejected_rows(annotate_all({"orders": orders}, {"orders": rules}, Stage(spark))["orders"], rules)
+
+
+def extra_columns_pass_through(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns beyond the contract stay, whatever they are called."""
+    extra = {"memo__text": "m", "issues": "i", "row_count": 1, "known_key": 2}
+    tables = raw_tables(spark, folder)
+    tables["orders"] = tables["orders"].withColumns({k: F.lit(v) for k, v in extra.items()})
+    rules = {"orders": RULES["orders"]}
+    annotated = annotate_all(normalize_all(tables), rules, Stage(spark))
+    return clean_rows(annotated["orders"], RULES["orders"])
+
+
 # --- KPIs over the clean rows of all datasets -------------------------------------------
 
 
@@ -346,6 +364,8 @@ def core_queries() -> dict[str, Query]:
         "rejected_customers": _rejected("customers"),
         "rejected_products": _rejected("products"),
         "rejected_orders": _rejected("orders"),
+        "rejected_orders_other_severity": rejected_orders_other_severity,
+        "extra_columns_pass_through": extra_columns_pass_through,
         "daily_sales_kpi": daily_sales_kpi,
         "category_sales_summary": category_sales_summary,
         "customer_country_summary": customer_country_summary,

@@ -260,7 +260,7 @@ typed_orders AS (
   FROM raw_orders)"""
 
 _REASONS = {
-    "duplicate_order_id": _repeated("order_id"),
+    "duplicate_order_id": f"(order_id IS NOT NULL AND {_repeated('order_id')})",
     "invalid_quantity": _below("quantity", 1),
     "invalid_total_amount": _below("total_amount", 0),
     "invalid_order_date": _bad_date("order_date"),
@@ -383,3 +383,10 @@ FROM customer WHERE c_acctbal IS NULL OR isnan(c_acctbal) OR c_acctbal < 0""",
     "orders_job_category_sales": _CATEGORY_SALES,
     "serving_country_view": _on_clean(_country("clean_orders", "clean_customers")),
 }
+
+ORACLE["rejected_orders_other_severity"] = f"""
+SELECT * FROM ({ORACLE["normalize_orders"]}) AS orders WHERE quantity IS NULL OR quantity < 1"""
+
+ORACLE["extra_columns_pass_through"] = f"""
+SELECT *, 'm' AS memo__text, 'i' AS issues, 1 AS row_count, 2 AS known_key
+FROM ({ORACLE["clean_orders"]}) AS orders"""

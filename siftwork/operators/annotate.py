@@ -8,10 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.operators.keys import duplicate_keys, key_column, orphan_keys
-from siftwork.operators.rules import DATE_TEXT, FOREIGN_KEY, UNIQUE, Rule, row_violation
+from siftwork.operators.rules import (
+    DATE_TEXT,
+    FOREIGN_KEY,
+    RESERVED,
+    UNIQUE,
+    Rule,
+    check_reserved,
+    row_violation,
+)
 from siftwork.plans.stage import Stage
 
-ISSUES = "issues"
+ISSUES = RESERVED + "issues"
 
 
 def annotate(
@@ -20,7 +28,7 @@ def annotate(
     references: Mapping[str, DataFrame],
     stage: Stage,
 ) -> DataFrame:
-    """Add ``issues``, the positions in ``rules`` of the rules that the row breaks.
+    """Add the column ``ISSUES``, the positions in ``rules`` of the rules that the row breaks.
 
     Rules on the row itself are plain expressions. For uniqueness and foreign keys the
     offending keys are found first, from the key columns alone, and written to ``stage``.
@@ -68,14 +76,14 @@ def _key_sets(
     found = {}
     for position, rule in enumerate(rules):
         if rule.name == UNIQUE:
-            keys = duplicate_keys(df, rule.column)
+            keys = duplicate_keys(df, rule.column, missing_repeats=rule.missing_repeats)
         elif rule.name == FOREIGN_KEY:
             reference = references[rule.reference_dataset]
             keys = orphan_keys(df, rule.column, reference, rule.reference_column)
         else:
             continue
         found[_set_name(rule, position)] = keys.select(
-            F.col(f"`{rule.column}`").alias(f"__key_{position}")
+            F.col(f"`{rule.column}`").alias(f"{RESERVED}key_{position}")
         )
     return found
 
@@ -83,17 +91,19 @@ def _key_sets(
 def _look_up_all(
     df: DataFrame, rules: Sequence[Rule], key_sets: Mapping[str, DataFrame]
 ) -> DataFrame:
-    names = [name for name in df.columns if not name.endswith(DATE_TEXT)]
+    names = [name for name in df.columns if not name.startswith(DATE_TEXT)]
+    check_reserved(df.select(*[F.col(f"`{name}`") for name in names]))
     annotated = df
     broken: list[Column] = []
     for position, rule in enumerate(rules):
         if rule.name not in (UNIQUE, FOREIGN_KEY):
             broken.append(row_violation(df, rule))
             continue
-        offending, found = F.col(f"__key_{position}"), f"__found_{position}"
+        offending, found = F.col(f"{RESERVED}key_{position}"), f"{RESERVED}found_{position}"
         keys = key_sets[_set_name(rule, position)].withColumn(found, F.lit(True))
         key = key_column(df, rule.column)
-        same = key.eqNullSafe(offending) if rule.name == UNIQUE else key == offending
+        null_safe = rule.name == UNIQUE and rule.missing_repeats
+        same = key.eqNullSafe(offending) if null_safe else key == offending
         annotated = annotated.join(keys, same, "left")
         hit = F.col(found).isNotNull()
         broken.append(hit if rule.name == UNIQUE else hit | key.isNull())

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, StringType
 
 
+_COUNT, _KNOWN = "__siftwork_count", "__siftwork_known"
+
+
 def key_column(df: DataFrame, name: str) -> Column:
     """The key, with NaN read as missing."""
     column = F.col(f"`{name}`")
@@ -21,13 +24,16 @@ def key_column(df: DataFrame, name: str) -> Column:
     return column
 
 
-def duplicate_keys(df: DataFrame, *columns: str) -> DataFrame:
-    """Keys held by more than one row; null counts as a key like any other."""
+def duplicate_keys(df: DataFrame, *columns: str, missing_repeats: bool = True) -> DataFrame:
+    """Keys held by more than one row; null counts as a key like any other, or not at all."""
+    keys = df.select(*[key_column(df, name).alias(name) for name in columns])
+    if not missing_repeats:
+        keys = keys.dropna(subset=list(columns))
     return (
-        df.groupBy(*[key_column(df, name).alias(name) for name in columns])
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .filter(F.col("row_count") > 1)
-        .drop("row_count")
+        keys.groupBy(*[F.col(f"`{name}`") for name in columns])
+        .agg(F.count(F.lit(1)).alias(_COUNT))
+        .filter(F.col(_COUNT) > 1)
+        .drop(_COUNT)
     )
 
 
@@ -35,20 +41,20 @@ def orphan_keys(df: DataFrame, column: str, reference: DataFrame, reference_colu
     """Non-null keys of ``df`` that no row of ``reference`` holds."""
     own_type = df.schema[column].dataType
     known = reference.select(
-        _as_type(reference, reference_column, own_type).alias("known_key")
-    ).filter(F.col("known_key").isNotNull())
+        _as_type(reference, reference_column, own_type).alias(_KNOWN)
+    ).filter(F.col(_KNOWN).isNotNull())
     used = df.select(key_column(df, column).alias(column)).filter(F.col(column).isNotNull())
     return used.distinct().join(
-        known.distinct(), F.col(column) == F.col("known_key"), "left_anti"
+        known.distinct(), F.col(column) == F.col(_KNOWN), "left_anti"
     )
 
 
 def rows_holding(df: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
     """Rows of ``df`` whose key is among ``keys``, missing keys included."""
-    renamed = keys.select(*[F.col(f"`{name}`").alias(f"__key_{name}") for name in columns])
+    renamed = keys.select(*[F.col(f"`{name}`").alias(f"__siftwork_key_{name}") for name in columns])
     same = reduce(
         lambda left, right: left & right,
-        [key_column(df, name).eqNullSafe(F.col(f"__key_{name}")) for name in columns],
+        [key_column(df, name).eqNullSafe(F.col(f"__siftwork_key_{name}")) for name in columns],
     )
     return df.join(renamed, same, "left_semi")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftwork.functions import lower, strip, title_case, to_date, to_key, to_number, upper
 from siftwork.functions.casts import DEFAULT_DATE_FORMATS
-from siftwork.operators.rules import DATE_TEXT
+from siftwork.operators.rules import DATE_TEXT, check_reserved
 
 Cleaner = Callable[[Column], Column]
 
@@ -53,11 +53,12 @@ def normalize(
     of each date stays beside it, so that the date rule can judge what was written; without
     it an unreadable date is simply missing.
     """
+    check_reserved(df)
     changed = {name: clean(F.col(name)) for name, clean in TEXT_CLEANERS[dataset].items()}
     for name in DATE_COLUMNS[dataset]:
         changed[name] = to_date(F.col(name), date_formats)
         if keep_date_text:
-            changed[name + DATE_TEXT] = F.col(name)
+            changed[DATE_TEXT + name] = F.col(name)
     if not text_keys:
         changed.update({name: to_key(F.col(name)) for name in KEY_COLUMNS[dataset]})
     return df.withColumns(changed)

@@ -18,7 +18,7 @@ ORDER_DATE_FORMATS = ("yyyy-MM-dd",)
 
 # The reasons for which an order is rejected, with the rule behind each.
 REASONS: dict[str, Rule] = {
-    "duplicate_order_id": Rule(UNIQUE, "order_id"),
+    "duplicate_order_id": Rule(UNIQUE, "order_id", missing_repeats=False),
     "invalid_quantity": Rule(NUMERIC, "quantity", min_value=1, parsed_column="quantity_double"),
     "invalid_total_amount": Rule(
         NUMERIC, "total_amount", min_value=0, parsed_column="total_amount_double"

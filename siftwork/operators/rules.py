@@ -46,8 +46,17 @@ MESSAGES: dict[str, str] = {
     ),
 }
 
-# Date text kept beside a parsed date column carries this ending; the date rule prefers it.
-DATE_TEXT = "__text"
+# Helper columns start like this; input columns may not.
+RESERVED = "__siftwork_"
+# Date text kept beside a parsed date column has this before its name; the date rule prefers it.
+DATE_TEXT = RESERVED + "text_"
+
+
+def check_reserved(df: DataFrame) -> None:
+    """Raise an error for input columns that are called like helper columns."""
+    taken = [name for name in df.columns if name.startswith(RESERVED)]
+    if taken:
+        raise ValueError(f"Names that start with '{RESERVED}' are reserved: {taken}")
 
 
 @dataclass(frozen=True)
@@ -55,7 +64,8 @@ class Rule:
     """One rule on one column.
 
     ``parsed_column`` names a column that holds the parsed number or date of ``column``
-    already, so that the rule need not parse it again.
+    already, so that the rule need not parse it again. With ``missing_repeats`` several rows
+    without a key repeat each other; without it a missing key is never a duplicate.
     """
 
     name: str
@@ -66,6 +76,7 @@ class Rule:
     reference_column: str | None = None
     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
     parsed_column: str | None = None
+    missing_repeats: bool = True
 
     @property
     def message(self) -> str:
@@ -117,8 +128,8 @@ def row_violation(df: DataFrame, rule: Rule) -> Column:
         # NaN is above every bound in Spark.
         return ~F.coalesce(fine & ~F.isnan(number) if has_nan else fine, F.lit(False))
     if rule.name == DATE:
-        if rule.column + DATE_TEXT in df.columns:
-            column, is_text = F.col(f"`{rule.column}{DATE_TEXT}`"), True
+        if DATE_TEXT + rule.column in df.columns:
+            column, is_text = F.col(f"`{DATE_TEXT}{rule.column}`"), True
         if not is_text:
             return F.lit(False)
         return column.isNotNull() & to_date(column, rule.date_formats).isNull()

@@ -14,7 +14,7 @@ from siftwork.operators.normalize import normalize
 from siftwork.operators.presets import preset_rules
 from siftwork.operators.reports import issue_report, quality_summary, union_reports
 from siftwork.operators.rules import Rule
-from siftwork.operators.split import REJECT_ALL, clean_rows, rejected_rows
+from siftwork.operators.split import clean_rows, rejected_rows
 from siftwork.plans.stage import Stage, run_together
 from siftwork.sources import load_dataset, write_table, zone_uri
 
@@ -52,7 +52,7 @@ def run_quality_pipeline(
     rules: Mapping[str, Sequence[Rule]] | None = None,
     *,
     fmt: str = "csv",
-    reject_on: Sequence[str] = REJECT_ALL,
+    reject_on: Sequence[str] | None = None,
     check_date_text: bool = False,
     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
     text_keys: bool = False,

@@ -91,6 +91,8 @@ def scan_csv(
     try:
         if schema is None:
             header = reader.csv(uri).columns
+            if not header:
+                raise ValueError(f"No header line in {uri}; an empty file has no columns.")
             schema = StructType([StructField(name, StringType(), True) for name in header])
         if keeps_text:
             schema = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
@@ -98,7 +100,7 @@ def scan_csv(
         scanned = reader.schema(schema).csv(uri)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"File not found: {uri}") from error
+            raise FileNotFoundError(f"Nothing to scan at {uri}") from error
         raise
     if mode.upper() == PAD:
         scanned = scanned.filter(_is_whole_or_short(scanned, escape)).drop(CORRUPT_COLUMN)

@@ -107,7 +107,7 @@ def test_annotation_keeps_every_row_and_lists_issues_in_rule_order(spark, stage)
     ]
     annotated = annotate(df, rules, {}, stage)
     assert annotated.columns == ["id", "s", "n", ISSUES]
-    found = sorted((row.id, row.s or "", tuple(row.issues)) for row in annotated.collect())
+    found = sorted((row.id, row.s or "", tuple(row[ISSUES])) for row in annotated.collect())
     assert found == [(1, "", (0, 1, 2)), (1, "a", (1,)), (2, "", (0,)), (3, "x", (2,))]
     assert clean_rows(annotated, rules).count() == 0
     assert rejected_rows(annotated, rules).count() == 4
