@@ -37,14 +37,16 @@ from siftwork.llm.decontaminate import PLAIN
 from siftwork.plans.stage import Stage
 
 #: Labelled rows on which the chain is fitted, about.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 20_000
 #: Features of the vocabulary, buckets that are looked into for them, and rows that must have one.
 FEATURES, CANDIDATES, MIN_ROWS = 3_000, 12_000, 4
 SKETCH_BITS = 18
 FOLDS = 3
 #: Bytes of the word beginnings that are features.
 BEGINNINGS = (4, 5)
-STEPS, RATE, PENALTY = 150, 0.15, 1e-3
+STEPS, RATE, PENALTY = 150, 0.15, 1.0
+#: Likelihood-ratio root that a feature must reach, as of so many standard deviations.
+SURE = 4.0
 
 _letters = RollingHashes(0x5851F42D4C957F2D)
 
@@ -68,10 +70,13 @@ def features_of(text: bytes) -> np.ndarray:
 
 
 def weight_of_evidence(present: np.ndarray, positive: np.ndarray, n: float, n_positive: float):
-    """How surely a feature's share differs between positive and other rows: a z score."""
-    a, b = positive + 0.5, present - positive + 0.5
-    odds = np.log(a / (n_positive + 1.0)) - np.log(b / (n - n_positive + 1.0))
-    return odds / np.sqrt(1.0 / a + 1.0 / b)
+    """How surely a feature's rows are not a chance draw: the root of the likelihood ratio."""
+    share = min(max(n_positive / max(n, 1.0), 1e-9), 1 - 1e-9)
+    own = positive / np.maximum(present, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(positive > 0, positive * np.log(own / share), 0.0)
+        gain += np.where(positive < present, (present - positive) * np.log((1 - own) / (1 - share)), 0.0)
+    return np.sqrt(np.maximum(2 * gain, 0.0))
 
 
 @dataclass(frozen=True)
@@ -234,6 +239,7 @@ def choose_vocabulary(sample: DataFrame, names: tuple[str, ...]) -> np.ndarray:
         for i, name in enumerate(names)
     ]
     score = np.max(exact, axis=0) if len(features) else np.zeros(0)
+    features, score = features[score >= SURE], score[score >= SURE]
     chosen = features[np.lexsort((features, -score))[:FEATURES]]
     return np.sort(chosen.view(np.uint64))
 
