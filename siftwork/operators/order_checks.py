@@ -76,12 +76,14 @@ def clean_orders(checked: DataFrame) -> DataFrame:
 def rejected_orders(checked: DataFrame) -> DataFrame:
     """One row per order id and reason, with the smallest row standing for several.
 
-    Only rows of a repeated order id can share id and reason. All others pass straight
+    Only rows of a repeated or missing order id can share id and reason. All others pass straight
     through, and the repeated ones are reduced on the map side before they shuffle.
     """
     names = [name for name in checked.columns if name != ISSUES]
     reasons = F.array(*[F.lit(reason) for reason in REASONS])
     repeated = F.array_contains(ISSUES, list(REASONS).index("duplicate_order_id"))
+    # Missing ids are no duplicates of each other, yet they share one row for each reason.
+    repeated = repeated | F.col("order_id").isNull()
     by_reason = checked.select(
         *names, repeated.alias("__repeated"), F.explode(ISSUES).alias("__position")
     ).withColumn("rejection_reason", F.get(reasons, F.col("__position")))

@@ -166,7 +166,8 @@ def test_rejected_orders_keep_one_row_per_id_and_reason(spark, stage):
         reasons += ["invalid_order_date"] if row[3] == "bad" else []
         reasons += ["invalid_customer_fk"] if row[1] != "1" else []
         reasons += ["invalid_product_fk"] if row[2] != "1" else []
-        reasons += ["duplicate_order_id"] if sum(r[0] == row[0] for r in rows) > 1 else []
+        same = sum(r[0] == row[0] for r in rows) if row[0] is not None else 1
+        reasons += ["duplicate_order_id"] if same > 1 else []
         for reason in reasons:
             kept[row[0], reason] = min(kept.get((row[0], reason), row), row, key=str)
     assert got == sorted(str((*row, reason)) for (_, reason), row in kept.items())
