@@ -314,7 +314,7 @@ def orders_job_category_sales(spark: SparkSession, folder: str) -> DataFrame:
 def serving_country_view(spark: SparkSession, folder: str) -> DataFrame:
     """Serving tables of the clean rows, asked through a KPI view."""
     clean = _clean_all(spark, folder)
-    publish_serving(spark, clean, folder=Stage(spark).path("serving"), orders_unique=True)
+    publish_serving(spark, clean, folder=Stage(spark).path("serving"), orders_unique=True, text_keys=True)
     return spark.sql("SELECT * FROM customer_country_summary")
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CUSTOMER_BASE = """
   SELECT c_custkey AS k,
-    CAST(c_custkey AS STRING) AS customer_id,
+    CASE WHEN c_custkey % 73 = 11 THEN concat('C-', CAST(c_custkey AS STRING))
+         ELSE CAST(c_custkey AS STRING) END AS customer_id,
     CASE WHEN c_custkey % 50 = 7 THEN NULL WHEN c_custkey % 50 = 8 THEN '   '
          ELSE concat('  ', c_name, ' ') END AS full_name,
     CASE WHEN c_custkey % 40 = 1 THEN concat('User', CAST(c_custkey AS STRING), '@mail')
@@ -34,8 +35,10 @@ PRODUCT_BASE = """
 
 ORDER_BASE = """
   SELECT o_orderkey AS k,
-    CASE WHEN o_orderkey % 211 = 10 THEN NULL ELSE CAST(o_orderkey AS STRING) END AS order_id,
+    CASE WHEN o_orderkey % 211 = 10 THEN NULL
+         WHEN o_orderkey % 67 = 13 THEN concat('web/', CAST(o_orderkey AS STRING)) ELSE CAST(o_orderkey AS STRING) END AS order_id,
     CASE WHEN o_orderkey % 41 = 0 THEN '99999999' WHEN o_orderkey % 83 = 5 THEN NULL
+         WHEN o_custkey % 73 = 11 THEN concat('C-', CAST(o_custkey AS STRING))
          ELSE CAST(o_custkey AS STRING) END AS customer_id,
     CASE WHEN o_orderkey % 43 = 1 THEN '99999999'
          ELSE CAST(o_orderkey % (SELECT count(*) FROM {part}) AS STRING) END AS product_id,

@@ -27,6 +27,13 @@ def _key(name: str) -> str:
     return f"try_cast({name} AS BIGINT)"
 
 
+def _id(name: str) -> str:
+    return (
+        f"CASE WHEN regexp_full_match({name}, '[+-]?[0-9]+([.]0*)?') "
+        f"THEN coalesce(CAST(try_cast({name} AS BIGINT) AS VARCHAR), {name}) ELSE {name} END"
+    )
+
+
 _TITLE = (
     rf"array_to_string(list_transform(regexp_extract_all(lower({_strip('category')}), "
     r"'\p{L}+|\P{L}+'), lambda x: concat(upper(x[1]), x[2:])), '')"
@@ -34,17 +41,17 @@ _TITLE = (
 
 NORMALIZED = f"""
 norm_customers AS (
-  SELECT {_key('customer_id')} AS customer_id, {_strip('full_name')} AS full_name,
+  SELECT {_id('customer_id')} AS customer_id, {_strip('full_name')} AS full_name,
          lower({_strip('email')}) AS email, upper({_strip('country')}) AS country,
          {_date('registration_date')} AS registration_date, registration_date AS date_text
   FROM raw_customers),
 norm_products AS (
-  SELECT {_key('product_id')} AS product_id, {_strip('product_name')} AS product_name,
+  SELECT {_id('product_id')} AS product_id, {_strip('product_name')} AS product_name,
          {_TITLE} AS category, {_number('price')} AS price, NULL AS date_text
   FROM raw_products),
 norm_orders AS (
-  SELECT {_key('order_id')} AS order_id, {_key('customer_id')} AS customer_id,
-         {_key('product_id')} AS product_id, {_date('order_date')} AS order_date,
+  SELECT {_id('order_id')} AS order_id, {_id('customer_id')} AS customer_id,
+         {_id('product_id')} AS product_id, {_date('order_date')} AS order_date,
          {_number('quantity')} AS quantity, {_number('total_amount')} AS total_amount,
          upper({_strip('currency')}) AS currency, order_date AS date_text
   FROM raw_orders)"""

@@ -1,4 +1,4 @@
-from siftwork.functions.casts import to_date, to_integer, to_key, to_number
+from siftwork.functions.casts import to_date, to_id, to_integer, to_key, to_number
 from siftwork.functions.text import (
     is_blank,
     is_malformed_email,
@@ -15,6 +15,7 @@ __all__ = [
     "strip",
     "title_case",
     "to_date",
+    "to_id",
     "to_integer",
     "to_key",
     "to_number",

@@ -40,6 +40,11 @@ def to_key(column: Column) -> Column:
     return F.coalesce(to_integer(column), to_integer(whole))
 
 
+def to_id(column: Column) -> Column:
+    """Ids as text: whole numbers in their plain form, so that ``7.0`` meets 7, others as written."""
+    return F.coalesce(to_key(column).cast("string"), column.cast("string"))
+
+
 def to_date(column: Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
     """Text to date by the first of ``formats`` that fits the whole value."""
     return F.coalesce(*[_parse_date(column, fmt) for fmt in formats])

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.functions import lower, strip, title_case, to_date, to_key, to_number, upper
+from siftwork.functions import lower, strip, title_case, to_date, to_id, to_number, upper
 from siftwork.functions.casts import DEFAULT_DATE_FORMATS
 from siftwork.operators.rules import DATE_TEXT, check_reserved
 
@@ -49,7 +49,8 @@ def normalize(
 ) -> DataFrame:
     """Normalise one dataset read as text. Further columns pass through as they are.
 
-    Keys become bigint, or stay text with ``text_keys``. With ``keep_date_text`` the text
+    Keys are text and none is lost: whole numbers in their plain form, all others, and with
+    ``text_keys`` every one, as written. With ``keep_date_text`` the text
     of each date stays beside it, so that the date rule can judge what was written; without
     it an unreadable date is simply missing.
     """
@@ -60,7 +61,7 @@ def normalize(
         if keep_date_text:
             changed[DATE_TEXT + name] = F.col(name)
     if not text_keys:
-        changed.update({name: to_key(F.col(name)) for name in KEY_COLUMNS[dataset]})
+        changed.update({name: to_id(F.col(name)) for name in KEY_COLUMNS[dataset]})
     return df.withColumns(changed)
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftwork.functions import to_key
 from siftwork.operators.kpi import (
     category_sales_summary,
     customer_country_summary,
@@ -42,13 +43,24 @@ SERVING_TABLES: dict[str, dict[str, str]] = {
 }
 
 
+def _whole_id(column: Column) -> Column:
+    """The id as bigint; an error for one that is no whole number, which would get lost."""
+    whole, text = to_key(column), column.cast("string")
+    said = F.concat(F.lit("Not a whole number, so publish ids as text (text_keys): "), text)
+    return F.when(whole.isNull() & text.isNotNull(), F.raise_error(said).cast("bigint")).otherwise(whole)
+
+
 def serving_frame(df: DataFrame, table: str, text_keys: bool = False) -> DataFrame:
     """The columns of a serving table in their declared types; ``text_keys`` leaves ids text."""
-    kinds = {
-        name: "string" if text_keys and name.endswith("_id") else kind
-        for name, kind in SERVING_TABLES[table].items()
-    }
-    return df.select(*[F.col(name).try_cast(kind).alias(name) for name, kind in kinds.items()])
+    columns = []
+    for name, kind in SERVING_TABLES[table].items():
+        if not name.endswith("_id"):
+            columns.append(F.col(name).try_cast(kind).alias(name))
+        elif text_keys:
+            columns.append(F.col(name).cast("string").alias(name))
+        else:
+            columns.append(_whole_id(F.col(name)).alias(name))
+    return df.select(*columns)
 
 
 def create_kpi_views(

@@ -90,9 +90,9 @@ def test_column_contract(spark, sample_folder):
 def test_all_datasets(spark, sample_folder):
     loaded = load_datasets(spark, sample_folder)
     assert {name: df.count() for name, df in loaded.items()} == {
-        "customers": 8,
-        "products": 8,
-        "orders": 10,
+        "customers": 24,
+        "products": 15,
+        "orders": 40,
     }
 
 
