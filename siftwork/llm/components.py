@@ -13,18 +13,21 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
 
     ``edges`` has integer columns a and b in any direction; repeats, loops and nulls do no harm. A
     step links neighbours to the least node around them, so the number of edges never grows and
-    chains shorten by a constant factor. Minima are merged within tasks, each step is written,
-    and the driver sees a count and a checksum only.
+    chains shorten by a constant factor. The steps end once every node hangs from one that hangs
+    from no other, which a single aggregation tells; as links run to smaller nodes, that one is
+    the least of its component. Minima are merged within tasks, each step is written, and the
+    driver sees a single node at most.
     """
     ends = edges.filter("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    stars, seen = stage.table(ends.distinct(), "edges", "zstd"), None
+    stars = stage.table(ends.distinct(), "edges", "zstd")
     while True:
-        found = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(found) == seen or not found[0]:
+        upward = stars.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        downward = stars.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        links = upward.union(downward).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not links.filter("up > 1 or up = 1 and down = 1").head(1):
             return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = tuple(found)
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (

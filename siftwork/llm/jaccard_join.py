@@ -299,8 +299,8 @@ def find_links(
         _packed(plain.join(active, F.col("doc_id") == F.col("listed_id"), "left_semi")),
         "texts", "uncompressed",
     )
-    edges = tried = None
-    left, found, last = lists, None, False
+    tried = found = None
+    left, last = lists, False
     for pick in itertools.cycle((F.min, F.max)):
         pairs = _rest(left, similarity) if last else _stars(left, pick, similarity)
         if tried is not None:
@@ -309,9 +309,10 @@ def find_links(
         links = stage.table(probe(pairs, texts, width, similarity), "links", "zstd")
         tried = pairs if tried is None else tried.union(pairs)
         joined = links.count() > 0
-        if joined or edges is None:
-            edges = links if edges is None else edges.union(links)
-            found = components(edges, stage)
+        if joined or found is None:
+            # What is joined already stays joined by its stars; older links add nothing to them.
+            known = links if found is None else links.union(found.toDF("a", "b"))
+            found = components(known, stage)
         if last:
             return listed, found
         left = stage.table(_mixed(lists, found), "mixed", "zstd")
