@@ -155,8 +155,14 @@ def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> D
     return stage.table(docs.mapInArrow(lists, ddl), "lists", "zstd")
 
 
-def probe(pairs: DataFrame, texts: DataFrame, width: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+def probe(
+    pairs: DataFrame, docs: DataFrame, stage: Stage, width: int, similarity: int
+) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity; only their documents' texts are moved."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    ends = stage.key_sets({"ends": ends})["ends"]
+    held = docs.join(ends, F.col("doc_id") == F.col("end"), "left_semi")
+    texts = stage.table(_packed(held), "texts", "uncompressed")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batches):
@@ -217,15 +223,19 @@ def _can_share(similarity: int) -> Column:
 def _stars(lists: DataFrame, pick, similarity: int) -> DataFrame:
     """Pairs (a, b) of each list's members with one member of their size or of the next smaller."""
     member = F.struct("doc_id", "n_shingles", "place")
-    hubs = lists.groupBy("shingle", "size_class").agg(pick(member).alias("hub"))
+    hubs = lists.groupBy("shingle", "size_class").agg(
+        pick(member).alias("hub"), F.count("*").alias("members")
+    )
+    # A single member has nobody to meet in its own class.
+    own_class, next_class = F.col("size_class"), F.col("size_class") + 1
+    met = F.when(F.col("members") > 1, F.array(own_class, next_class)).otherwise(F.array(next_class))
     hubs = hubs.select(
-        "shingle", "size_class", F.col("hub.doc_id").alias("hub"),
+        "shingle", F.explode(met).alias("size_class"), F.col("hub.doc_id").alias("hub"),
         F.col("hub.n_shingles").alias("m"), F.col("hub.place").alias("j"),
     )
-    next_class = hubs.withColumn("size_class", F.col("size_class") + 1)
     return (
         lists.withColumnsRenamed({"n_shingles": "n", "place": "i"})
-        .join(hubs.union(next_class), ["shingle", "size_class"])
+        .join(hubs, ["shingle", "size_class"])
         .filter("doc_id <> hub")
         .filter(_can_share(similarity))
         .select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b"))
@@ -235,6 +245,7 @@ def _stars(lists: DataFrame, pick, similarity: int) -> DataFrame:
 
 def _mixed(lists: DataFrame, found: DataFrame) -> DataFrame:
     """Members of lists in which more than one component is left, with their component."""
+    lists = lists.drop("component")
     placed = lists.join(found, lists["doc_id"] == found["node"], "left").select(
         "shingle", "doc_id", "n_shingles", "size_class", "place",
         F.coalesce("component", "doc_id").alias("component"),
@@ -294,11 +305,6 @@ def find_links(
         ),
         "members", "zstd",
     )
-    active = lists.select(F.col("doc_id").alias("listed_id")).distinct()
-    texts = stage.table(
-        _packed(plain.join(active, F.col("doc_id") == F.col("listed_id"), "left_semi")),
-        "texts", "uncompressed",
-    )
     tried = found = None
     left, last = lists, False
     for pick in itertools.cycle((F.min, F.max)):
@@ -306,7 +312,7 @@ def find_links(
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage.table(pairs, "pairs", "zstd")
-        links = stage.table(probe(pairs, texts, width, similarity), "links", "zstd")
+        links = stage.table(probe(pairs, plain, stage, width, similarity), "links", "zstd")
         tried = pairs if tried is None else tried.union(pairs)
         joined = links.count() > 0
         if joined or found is None:
@@ -315,7 +321,8 @@ def find_links(
             found = components(known, stage)
         if last:
             return listed, found
-        left = stage.table(_mixed(lists, found), "mixed", "zstd")
+        # A list of one component stays one, so only the lists left need another look.
+        left = stage.table(_mixed(left, found), "mixed", "zstd")
         n = left.groupBy("shingle").count().agg(F.sum("count"), F.sum(F.expr("count * count")))
         members, all_pairs = n.first()
         if not members:
