@@ -6,10 +6,13 @@ from siftwork.llm import (
     bpe,
     decontaminate,
     exact_dedup,
+    importance,
     jaccard_join,
     language_id,
     line_dedup,
     lm_score,
+    period_runs,
+    simhash_groups,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -28,6 +31,9 @@ def queries() -> dict:
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_lm_score": lm_score.op10_lm_score,
+        "op11_period_runs": period_runs.op11_period_runs,
+        "op12_importance": importance.op12_importance,
+        "op13_simhash": simhash_groups.op13_simhash,
     }
 
 
