@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import importlib.util
 import pathlib
 import sys
 from collections.abc import Callable
+from functools import reduce
 
+import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The driver may load this file from elsewhere.
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
@@ -17,26 +21,32 @@ from oracle_queries import ORACLE
 from siftwork.operators import kpi, order_checks, reports
 from siftwork.operators.annotate import annotate_all
 from siftwork.operators.keys import duplicate_keys, rows_holding
-from siftwork.operators.normalize import normalize, normalize_all
+from siftwork.operators.normalize import normalize, normalize_all, voted_formats
 from siftwork.operators.order_checks import typed
-from siftwork.operators.presets import preset_rules
-from siftwork.operators.rules import NUMERIC, Rule
+from siftwork.operators.presets import RULES_DOCUMENT, preset_rules
+from siftwork.operators.rules import NUMERIC, Rule, rules_from_document
 from siftwork.operators.split import clean_rows, is_rejected, rejected_rows
 from siftwork.plans.orders import run_orders_job
 from siftwork.plans.quality import run_quality_pipeline
 from siftwork.plans.serving import publish_serving
 from siftwork.plans.stage import Stage
-from siftwork.sources import load_dataset, scan_zone, write_table
+from siftwork.sources import (
+    load_dataset,
+    load_datasets,
+    load_rules_document,
+    read_table,
+    scan_zone,
+    scan_zone_tables,
+    write_table,
+)
 
 # The operators for training data are optional: without their folder the rest works.
-try:
+# Only their absence is passed over; a package that they lack is an error.
+llm_queries = corpus_pipeline = None
+if importlib.util.find_spec("siftwork.llm") and importlib.util.find_spec("siftwork.llm.queries"):
     from siftwork.llm import queries as llm_queries
-except ImportError:
-    llm_queries = None
-try:
+if importlib.util.find_spec("corpus_pipeline"):
     import corpus_pipeline
-except ImportError:
-    corpus_pipeline = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,10 +214,12 @@ def extra_columns_pass_through(spark: SparkSession, folder: str) -> DataFrame:
 # --- KPIs over the clean rows of all datasets -------------------------------------------
 
 
-def _clean_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        name: clean_rows(df, RULES[name]) for name, df in _annotated(spark, folder).items()
-    }
+def _clean_all(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """The clean rows of the named datasets, or of all; only their rules are run."""
+    tables = normalize_all(raw_tables(spark, folder))
+    rules = {name: RULES[name] for name in names or RULES}
+    annotated = annotate_all(tables, rules, Stage(spark))
+    return {name: clean_rows(annotated[name], RULES[name]) for name in rules}
 
 
 def daily_sales_kpi(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,12 +227,12 @@ def daily_sales_kpi(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def category_sales_summary(spark: SparkSession, folder: str) -> DataFrame:
-    clean = _clean_all(spark, folder)
+    clean = _clean_all(spark, folder, "orders", "products")
     return kpi.category_sales_summary(clean["orders"], clean["products"], orders_unique=True)
 
 
 def customer_country_summary(spark: SparkSession, folder: str) -> DataFrame:
-    clean = _clean_all(spark, folder)
+    clean = _clean_all(spark, folder, "orders", "customers")
     return kpi.customer_country_summary(clean["orders"], clean["customers"], orders_unique=True)
 
 
@@ -318,6 +330,126 @@ def serving_country_view(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql("SELECT * FROM customer_country_summary")
 
 
+def _published(view: str) -> Query:
+    """A KPI view of a database of its own, over serving tables that were published twice."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        uri = Stage(spark).path("database")
+        database = uri.rpartition("/")[2]
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{uri}'")
+        clean = _clean_all(spark, folder)
+        first = {name: df.limit(5) for name, df in clean.items()}
+        for tables in (first, clean):
+            publish_serving(spark, tables, database=database, text_keys=True)
+        return spark.table(f"{database}.{view}")
+
+    return query
+
+
+def _raw_files(spark: SparkSession, folder: str, stage: Stage) -> dict[str, str]:
+    root = stage.path("raw")
+    return {name: write_table(df, f"{root}/{name}.csv") for name, df in raw_tables(spark, folder).items()}
+
+
+def zone_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The processed zone as the quality job leaves it: its tables, found and scanned one by one."""
+    stage = Stage(spark)
+    output = stage.path("output")
+    run_quality_pipeline(spark, raw_tables(spark, folder), output, stage=stage)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(df.columns[0]).alias("n_ids")).select(
+            F.lit(name).alias("table_name"), F.lit(",".join(df.columns)).alias("header"), "*"
+        )
+        for name, df in scan_zone_tables(spark, output, "processed").items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_ISSUES_DDL = (
+    "customer_id string, full_name string, email string, country string, registration_date date, "
+    "dataset_name string, rule_name string, column_name string, severity string, message string, "
+    "product_id string, product_name string, category string, price double, order_id string, "
+    "order_date date, quantity double, total_amount double, currency string"
+)
+
+
+def csv_all_issues_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report on all issues, read back from its CSV files."""
+    stage = Stage(spark)
+    run = run_quality_pipeline(spark, raw_tables(spark, folder), stage.path("output"), stage=stage)
+    schema = StructType.fromDDL(_ISSUES_DDL)
+    return read_table(spark, run.outputs["all_issues_validation_report"], schema)
+
+
+def quality_run_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each half, as the run counted them while it wrote."""
+    stage = Stage(spark)
+    run = run_quality_pipeline(
+        spark, raw_tables(spark, folder), stage.path("output"), fmt="parquet", stage=stage
+    )
+    rows = [(name, n["clean"], n["rejected"]) for name, n in run.row_counts.items()]
+    return spark.createDataFrame(rows, "dataset_name string, clean bigint, rejected bigint")
+
+
+def _orders_job_output(name: str, ddl: str) -> Query:
+    """An output of the orders job from CSV with fixed schemas to CSV, read back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        stage = Stage(spark)
+        run = run_orders_job(spark, _raw_files(spark, folder, stage), stage.path("output"), stage=stage)
+        return read_table(spark, run.outputs[name], StructType.fromDDL(ddl))
+
+    return query
+
+
+_TYPED_ORDERS_DDL = (
+    "order_id string, customer_id string, product_id string, order_date string, quantity string, "
+    "total_amount string, currency string, order_id_int bigint, customer_id_int bigint, "
+    "product_id_int bigint, order_date_parsed date, quantity_double double, total_amount_double double"
+)
+_DAILY_DDL = "order_date_parsed date, order_count bigint, total_quantity double, total_revenue double"
+
+
+def yaml_rules_issues(spark: SparkSession, folder: str) -> DataFrame:
+    """All issues by the rules of a YAML document."""
+    stage = Stage(spark)
+    uri = stage.path("rules")
+    text = yaml.safe_dump(RULES_DOCUMENT, sort_keys=False)
+    spark.createDataFrame([(text,)], "document string").coalesce(1).write.text(uri)
+    rules = rules_from_document(load_rules_document(spark, uri))
+    annotated = annotate_all(normalize_all(raw_tables(spark, folder)), rules, stage)
+    return reports.union_reports(
+        [reports.issue_report(df, name, rules[name]) for name, df in annotated.items()]
+    )
+
+
+def loaded_datasets_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality summary of all datasets below one root, each scanned by its contract."""
+    stage = Stage(spark)
+    root = _raw_files(spark, folder, stage)["orders"].rpartition("/")[0]
+    tables = normalize_all(load_datasets(spark, root))
+    return reports.quality_summary(annotate_all(tables, RULES, stage), RULES)
+
+
+def null_tokens_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders from CSV in which words stand for missing values."""
+    tokens = {"product_id": ("1", "NULL"), "quantity": ("3", "n/a"), "order_date": ("5", "<NA>"), "currency": ("7", "NaN")}
+    ends = lambda digit: F.coalesce(F.endswith("order_id", F.lit(digit)), F.lit(False))
+    orders = raw_table(spark, folder, "orders").withColumns(
+        {name: F.when(ends(digit), token).otherwise(F.col(name)) for name, (digit, token) in tokens.items()}
+    )
+    uri = Stage(spark).path("orders")
+    return normalize(load_dataset(spark, "orders", write_table(orders, uri)), "orders")
+
+
+def normalize_orders_other_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose dates are written day first, in the form that the column votes for."""
+    orders = raw_table(spark, folder, "orders")
+    slashed = F.date_format(F.try_to_date("order_date", "yyyy-MM-dd"), "dd/MM/yyyy")
+    orders = orders.withColumn("order_date", F.coalesce(slashed, "order_date"))
+    return normalize(orders, "orders", date_formats=voted_formats(orders, "orders"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Daily sales of the orders that pass every check."""
     return daily_sales(spark, "/root/testdata/sf0.001")
@@ -381,6 +513,24 @@ def core_queries() -> dict[str, Query]:
         "csv_quality_run_summary": csv_quality_run_summary,
         "orders_job_category_sales": orders_job_category_sales,
         "serving_country_view": serving_country_view,
+        "zone_tables": zone_tables,
+        "catalog_daily_view": _published("daily_sales_kpi"),
+        "catalog_category_view": _published("category_sales_summary"),
+        "catalog_country_view": _published("customer_country_summary"),
+        "csv_all_issues_report": csv_all_issues_report,
+        "quality_run_row_counts": quality_run_row_counts,
+        "csv_job_clean_orders": _orders_job_output("spark_clean_orders", _TYPED_ORDERS_DDL),
+        "csv_job_rejected_orders": _orders_job_output(
+            "spark_rejected_orders", _TYPED_ORDERS_DDL + ", rejection_reason string"
+        ),
+        "csv_job_daily_sales": _orders_job_output("spark_daily_sales_kpi", _DAILY_DDL),
+        "csv_job_reason_summary": _orders_job_output(
+            "spark_rejection_reason_summary", "rejection_reason string, rejected_record_count bigint"
+        ),
+        "yaml_rules_issues": yaml_rules_issues,
+        "loaded_datasets_summary": loaded_datasets_summary,
+        "null_tokens_orders": null_tokens_orders,
+        "normalize_orders_other_dates": normalize_orders_other_dates,
     }
 
 

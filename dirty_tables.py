@@ -18,7 +18,7 @@ CUSTOMER_BASE = """
          WHEN c_custkey % 40 = 2 THEN NULL
          ELSE concat('User', CAST(c_custkey AS STRING), '@Mail.com') END AS email,
     CASE WHEN c_custkey % 60 = 5 THEN NULL ELSE lower(n_name) END AS country,
-    CASE WHEN c_custkey % 30 = 9 THEN 'invalid_date'
+    CASE WHEN c_custkey % 30 = 9 THEN 'not a day'
          ELSE CAST(DATE '2023-01-01' + CAST(c_custkey % 365 AS INT) AS STRING)
          END AS registration_date
   FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"""
@@ -28,7 +28,7 @@ PRODUCT_BASE = """
     CAST(p_partkey AS STRING) AS product_id,
     p_name AS product_name,
     CASE WHEN p_partkey % 45 = 4 THEN NULL ELSE lower(p_type) END AS category,
-    CASE WHEN p_partkey % 33 = 6 THEN '-300' WHEN p_partkey % 33 = 7 THEN NULL
+    CASE WHEN p_partkey % 33 = 6 THEN '-12.75' WHEN p_partkey % 33 = 7 THEN NULL
          WHEN p_partkey % 33 = 8 THEN 'n.a'
          ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING) END AS price
   FROM {part}"""
@@ -42,26 +42,26 @@ ORDER_BASE = """
          ELSE CAST(o_custkey AS STRING) END AS customer_id,
     CASE WHEN o_orderkey % 43 = 1 THEN '99999999'
          ELSE CAST(o_orderkey % (SELECT count(*) FROM {part}) AS STRING) END AS product_id,
-    CASE WHEN o_orderkey % 37 = 6 THEN 'invalid_date' WHEN o_orderkey % 53 = 7 THEN NULL
+    CASE WHEN o_orderkey % 37 = 6 THEN 'not a day' WHEN o_orderkey % 53 = 7 THEN NULL
          ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS order_date,
     CASE WHEN o_orderkey % 31 = 3 THEN '-1' WHEN o_orderkey % 31 = 7 THEN NULL
          WHEN o_orderkey % 31 = 8 THEN 'two'
          ELSE CAST(1 + o_orderkey % 50 AS STRING) END AS quantity,
-    CASE WHEN o_orderkey % 29 = 3 THEN '-300' WHEN o_orderkey % 29 = 8 THEN NULL
+    CASE WHEN o_orderkey % 29 = 3 THEN '-12.75' WHEN o_orderkey % 29 = 8 THEN NULL
          ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS total_amount,
     'usd ' AS currency
   FROM {orders}"""
 
 SPARK_SQL = {
     "customers": f"""
-SELECT customer_id, CASE WHEN copy = 1 THEN concat(full_name, '2') ELSE full_name END AS full_name,
+SELECT customer_id, CASE WHEN copy = 1 THEN concat(full_name, ' II') ELSE full_name END AS full_name,
        email, country, registration_date
 FROM ({CUSTOMER_BASE})
 LATERAL VIEW explode(
   IF(k % 97 = 3 AND full_name IS NOT NULL, array(0, 1), array(0))) AS copy""",
     "products": f"""
 SELECT product_id,
-       CASE WHEN copy = 1 THEN concat(product_name, ' Duplicate') ELSE product_name END
+       CASE WHEN copy = 1 THEN concat(product_name, ' (again)') ELSE product_name END
          AS product_name,
        category, price
 FROM ({PRODUCT_BASE})
@@ -81,12 +81,12 @@ order_base AS ({ORDER_BASE}),
 raw_customers AS (
   SELECT customer_id, full_name, email, country, registration_date FROM customer_base
   UNION ALL
-  SELECT customer_id, concat(full_name, '2'), email, country, registration_date
+  SELECT customer_id, concat(full_name, ' II'), email, country, registration_date
   FROM customer_base WHERE k % 97 = 3 AND full_name IS NOT NULL),
 raw_products AS (
   SELECT product_id, product_name, category, price FROM product_base
   UNION ALL
-  SELECT product_id, concat(product_name, ' Duplicate'), category, price
+  SELECT product_id, concat(product_name, ' (again)'), category, price
   FROM product_base WHERE k % 89 = 2),
 raw_orders AS (
   SELECT order_id, customer_id, product_id, order_date, quantity, total_amount, currency

@@ -397,3 +397,39 @@ SELECT * FROM ({ORACLE["normalize_orders"]}) AS orders WHERE quantity IS NULL OR
 ORACLE["extra_columns_pass_through"] = f"""
 SELECT *, 'm' AS memo__text, 'i' AS issues, 1 AS row_count, 2 AS known_key
 FROM ({ORACLE["clean_orders"]}) AS orders"""
+
+_ALL = list(COLUMNS)
+ORACLE |= {
+    "zone_tables": _on_clean(
+        " UNION ALL ".join(
+            f"SELECT 'clean_{name}' AS table_name, '{COLUMNS[name].replace(', ', ',')}' AS header, "
+            f"count(*) AS n_rows, count(DISTINCT {COLUMNS[name].split(', ')[0]}) AS n_ids FROM clean_{name}"
+            for name in _ALL
+        )
+    ),
+    "catalog_daily_view": ORACLE["daily_sales_kpi"],
+    "catalog_category_view": ORACLE["category_sales_summary"],
+    "catalog_country_view": ORACLE["customer_country_summary"],
+    "csv_all_issues_report": ORACLE["issues_all"],
+    "quality_run_row_counts": _norm(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS dataset_name, count(*) FILTER (WHERE NOT {_rejected(name)}) AS clean, "
+            f"count(*) FILTER (WHERE {_rejected(name)}) AS rejected FROM norm_flags_{name}"
+            for name in _ALL
+        ),
+        *_ALL,
+    ),
+    "csv_job_clean_orders": ORACLE["clean_orders_by_id"],
+    "csv_job_rejected_orders": ORACLE["rejected_by_reason_rows"],
+    "csv_job_daily_sales": ORACLE["daily_sales"],
+    "csv_job_reason_summary": ORACLE["rejection_reason_summary"],
+    "yaml_rules_issues": ORACLE["issues_all"],
+    "loaded_datasets_summary": ORACLE["quality_summary"],
+    "null_tokens_orders": _norm(
+        "SELECT order_id, customer_id, CASE WHEN order_id LIKE '%1' THEN NULL ELSE product_id END AS product_id, "
+        "CASE WHEN order_id LIKE '%5' THEN NULL ELSE order_date END AS order_date, "
+        "CASE WHEN order_id LIKE '%3' THEN NULL ELSE quantity END AS quantity, total_amount, "
+        "CASE WHEN order_id LIKE '%7' THEN NULL ELSE currency END AS currency FROM norm_orders"
+    ),
+    "normalize_orders_other_dates": ORACLE["normalize_orders"],
+}

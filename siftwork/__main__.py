@@ -13,7 +13,7 @@ from functools import partial
 
 from pyspark.sql import SparkSession
 
-from siftwork.functions.casts import DEFAULT_DATE_FORMATS
+from siftwork.functions.casts import DEFAULT_DATE_FORMATS, VOTE
 from siftwork.operators.presets import RULES_DOCUMENT
 from siftwork.operators.rules import rules_from_document
 from siftwork.plans.orders import run_orders_job
@@ -31,7 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
         job.add_argument("output", help="root of the output zones")
     quality = jobs.choices["quality"]
     quality.add_argument("--rules", help="rules document in YAML")
-    quality.add_argument("--date-format", action="append", help="Spark date pattern, tried in order")
+    quality.add_argument("--date-format", action="append", help="Spark date pattern, tried in order; vote: each column's own")
     quality.add_argument("--check-date-text", action="store_true", help="unreadable dates are issues")
     quality.add_argument("--reject-on", action="append", metavar="SEVERITY", help="default: any issue")
     jobs.add_parser("serving").add_argument("output", help="root of the quality job's zones")
@@ -57,16 +57,17 @@ def main(arguments: list[str] | None = None) -> None:
         run = run_orders_job(spark, inputs, chosen.output, fmt=chosen.format)
     else:
         formats = chosen.date_format or DEFAULT_DATE_FORMATS
+        voted = formats == [VOTE]
         document = load_rules_document(spark, chosen.rules) if chosen.rules else RULES_DOCUMENT
         run = run_quality_pipeline(
             spark,
             inputs,
             chosen.output,
-            rules_from_document(document, formats),
+            rules_from_document(document, DEFAULT_DATE_FORMATS if voted else formats),
             fmt=chosen.format,
             reject_on=chosen.reject_on,
             check_date_text=chosen.check_date_text,
-            date_formats=formats,
+            date_formats=VOTE if voted else formats,
             text_keys=chosen.text_keys,
         )
     for dataset, counts in run.row_counts.items():

@@ -1,4 +1,11 @@
-from siftwork.functions.casts import to_date, to_id, to_integer, to_key, to_number
+from siftwork.functions.casts import (
+    to_date,
+    to_id,
+    to_integer,
+    to_key,
+    to_number,
+    vote_date_formats,
+)
 from siftwork.functions.text import (
     is_blank,
     is_malformed_email,
@@ -20,4 +27,5 @@ __all__ = [
     "to_key",
     "to_number",
     "upper",
+    "vote_date_formats",
 ]

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_DATE_FORMATS = ("yyyy-M-d",)
+#: In place of date formats: find each column's own among the candidates.
+VOTE = "vote"
+#: Forms that a column may vote for, the more usual ones first.
+DATE_FORM_CANDIDATES = ("yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "d.M.yyyy", "yyyy/M/d", "yyyyMMdd", "d-M-yyyy")
 
 _ASCII_BLANKS = "\t\n\x0b\x0c\r "
 # try_cast also reads Java forms such as 1d, 0x1p3 or NaN; these are not numbers here.
@@ -50,6 +54,27 @@ def to_date(column: Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Co
     return F.coalesce(*[_parse_date(column, fmt) for fmt in formats])
 
 
+def vote_date_formats(
+    df: DataFrame, columns: Sequence[str], candidates: Sequence[str] = DATE_FORM_CANDIDATES
+) -> dict[str, tuple[str]]:
+    """Per text column, the one form that reads most of its values; ties go to the earlier one.
+
+    A single aggregate over all rows, merged on the map side. A column that no form reads gets
+    the first one.
+    """
+    if not columns:
+        return {}
+    read = df.agg(
+        *[
+            F.count(_parse_date(F.col(f"`{name}`"), fmt)).alias(f"{i}_{j}")
+            for i, name in enumerate(columns)
+            for j, fmt in enumerate(candidates)
+        ]
+    ).first()
+    votes = {name: [read[f"{i}_{j}"] for j in range(len(candidates))] for i, name in enumerate(columns)}
+    return {name: (candidates[counts.index(max(counts))],) for name, counts in votes.items()}
+
+
 def _parse_date(column: Column, fmt: str) -> Column:
     if fmt in _ISO_SHAPES:
         return F.when(column.rlike(_ISO_SHAPES[fmt]), column).try_cast("date")

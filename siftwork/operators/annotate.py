@@ -17,9 +17,10 @@ from siftwork.operators.rules import (
     check_reserved,
     row_violation,
 )
-from siftwork.plans.stage import Stage
+from siftwork.plans.stage import Stage, joins_by_shuffle
 
 ISSUES = RESERVED + "issues"
+FAULTY = RESERVED + "faulty"
 
 
 def annotate(
@@ -27,6 +28,7 @@ def annotate(
     rules: Sequence[Rule],
     references: Mapping[str, DataFrame],
     stage: Stage,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Add the column ``ISSUES``, the positions in ``rules`` of the rules that the row breaks.
 
@@ -36,8 +38,11 @@ def annotate(
     small, so Spark, which knows its size from the files, broadcasts it and the wide rows
     are not shuffled. Beyond the broadcast threshold both sides of the sort-merge join
     are plain exchanges, which adaptive execution splits where a key is hot.
+
+    ``keys`` may hold the key columns of ``df`` where reading them from ``df`` costs more.
     """
-    return _look_up_all(df, rules, stage.key_sets(_key_sets(df, rules, references)))
+    found = _key_sets(df if keys is None else keys, rules, references)
+    return _look_up_all(df, rules, stage.key_sets(found))
 
 
 def annotate_all(
@@ -115,5 +120,19 @@ def _look_up_all(
     return annotated.select(*[F.col(f"`{name}`") for name in names], issues.alias(ISSUES))
 
 
+def split_once(annotated: DataFrame, stage: Stage, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows without issues, rows with issues and their ``ISSUES``), annotated but once where that is dear.
+
+    Where the key sets are broadcast, annotating twice costs a scan, and only the rows with issues,
+    which feed several outputs, are staged. Where rows are shuffled for it, all are staged, in two folders.
+    """
+    if not joins_by_shuffle(annotated):
+        faulty = stage.table(annotated.filter(F.size(ISSUES) > 0), f"faulty_{name}")
+        return annotated.filter(F.size(ISSUES) == 0), faulty
+    marked = annotated.withColumn(FAULTY, F.size(ISSUES) > 0)
+    written = stage.table(marked, f"marked_{name}", partition_by=FAULTY)
+    return written.filter(~F.col(FAULTY)).drop(FAULTY), written.filter(FAULTY).drop(FAULTY)
+
+
 def _set_name(rule: Rule, position: int) -> str:
     return f"{rule.name}_{position}"

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.functions import lower, strip, title_case, to_date, to_id, to_number, upper
+from siftwork.functions import lower, strip, title_case, to_date, to_id, to_number, upper, vote_date_formats
 from siftwork.functions.casts import DEFAULT_DATE_FORMATS
 from siftwork.operators.rules import DATE_TEXT, check_reserved
 
@@ -43,7 +43,7 @@ def normalize(
     df: DataFrame,
     dataset: str,
     *,
-    date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
+    date_formats: Sequence[str] | Mapping[str, Sequence[str]] = DEFAULT_DATE_FORMATS,
     text_keys: bool = False,
     keep_date_text: bool = False,
 ) -> DataFrame:
@@ -52,12 +52,14 @@ def normalize(
     Keys are text and none is lost: whole numbers in their plain form, all others, and with
     ``text_keys`` every one, as written. With ``keep_date_text`` the text
     of each date stays beside it, so that the date rule can judge what was written; without
-    it an unreadable date is simply missing.
+    it an unreadable date is simply missing. ``date_formats`` may name forms by column, as
+    ``voted_formats`` finds them.
     """
     check_reserved(df)
     changed = {name: clean(F.col(name)) for name, clean in TEXT_CLEANERS[dataset].items()}
     for name in DATE_COLUMNS[dataset]:
-        changed[name] = to_date(F.col(name), date_formats)
+        formats = date_formats[name] if isinstance(date_formats, Mapping) else date_formats
+        changed[name] = to_date(F.col(name), formats)
         if keep_date_text:
             changed[DATE_TEXT + name] = F.col(name)
     if not text_keys:
@@ -65,5 +67,10 @@ def normalize(
     return df.withColumns(changed)
 
 
+def voted_formats(df: DataFrame, dataset: str, **options: object) -> dict[str, tuple[str]]:
+    """The form of each date column of a dataset, as its values vote for it."""
+    return vote_date_formats(df, DATE_COLUMNS[dataset], **options)
+
+
 def normalize_all(datasets: Mapping[str, DataFrame], **options: object) -> dict[str, DataFrame]:
     return {name: normalize(df, name, **options) for name, df in datasets.items()}

@@ -59,9 +59,11 @@ def typed(df: DataFrame, dataset: str) -> DataFrame:
     raise KeyError(dataset)
 
 
-def check_orders(datasets: Mapping[str, DataFrame], stage: Stage) -> DataFrame:
+def check_orders(
+    datasets: Mapping[str, DataFrame], stage: Stage, keys: DataFrame | None = None
+) -> DataFrame:
     """Typed orders annotated with the positions in ``REASONS`` of the checks they fail."""
-    return annotate(datasets["orders"], ORDER_RULES, datasets, stage)
+    return annotate(datasets["orders"], ORDER_RULES, datasets, stage, keys)
 
 
 def clean_orders(checked: DataFrame) -> DataFrame:

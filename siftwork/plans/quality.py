@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.functions.casts import DEFAULT_DATE_FORMATS
-from siftwork.operators.annotate import ISSUES, annotate_all
-from siftwork.operators.normalize import normalize
+from siftwork.functions.casts import DEFAULT_DATE_FORMATS, VOTE
+from siftwork.operators.annotate import ISSUES, annotate_all, split_once
+from siftwork.operators.normalize import normalize, voted_formats
 from siftwork.operators.presets import preset_rules
 from siftwork.operators.reports import issue_report, quality_summary, union_reports
-from siftwork.operators.rules import Rule
+from siftwork.operators.rules import DATE, Rule
 from siftwork.operators.split import clean_rows, rejected_rows
 from siftwork.plans.stage import Stage, run_together
 from siftwork.sources import load_dataset, write_table, zone_uri
@@ -45,6 +45,14 @@ def write_all(
     return dict(zip(results, uris))
 
 
+def _in_forms(rules: Sequence[Rule], forms: Mapping[str, Sequence[str]]) -> list[Rule]:
+    """The rules, with date rules in the forms found for their columns."""
+    return [
+        replace(rule, date_formats=tuple(forms[rule.column])) if rule.name == DATE and rule.column in forms else rule
+        for rule in rules
+    ]
+
+
 def run_quality_pipeline(
     spark: SparkSession,
     inputs: Mapping[str, str | DataFrame],
@@ -54,7 +62,7 @@ def run_quality_pipeline(
     fmt: str = "csv",
     reject_on: Sequence[str] | None = None,
     check_date_text: bool = False,
-    date_formats: Sequence[str] = DEFAULT_DATE_FORMATS,
+    date_formats: Sequence[str] | str = DEFAULT_DATE_FORMATS,
     text_keys: bool = False,
     stage: Stage | None = None,
     **scan_options: object,
@@ -63,7 +71,8 @@ def run_quality_pipeline(
 
     ``inputs`` gives a CSV location or a DataFrame of text columns for each dataset. Dates
     are parsed before the rules run, so an unreadable date is missing and passes the date
-    rule; ``check_date_text`` makes the rule judge the text instead.
+    rule; ``check_date_text`` makes the rule judge the text instead. With ``date_formats="vote"``
+    each date column is read in the form that reads most of its values, for one more scan of these.
 
     Outputs: ``processed/clean_<dataset>``, ``rejected/rejected_<dataset>``,
     ``reports/<dataset>_validation_report``, ``reports/all_issues_validation_report`` and
@@ -74,39 +83,52 @@ def run_quality_pipeline(
     stage = stage or Stage(spark)
     run = QualityRun()
     try:
+        raw = {
+            name: source if isinstance(source, DataFrame) else load_dataset(spark, name, source, **scan_options)
+            for name, source in inputs.items()
+        }
+        forms: dict[str, object] = {name: date_formats for name in raw}
+        if date_formats == VOTE:
+            forms = {name: voted_formats(df, name) for name, df in raw.items()}
+            rules = {name: _in_forms(own, forms.get(name, {})) for name, own in rules.items()}
         # Text is parsed once; key sets then read single columns of the staged tables.
         normal = stage.tables(
             {
                 name: normalize(
-                    source
-                    if isinstance(source, DataFrame)
-                    else load_dataset(spark, name, source, **scan_options),
+                    df,
                     name,
-                    date_formats=date_formats,
+                    date_formats=forms[name],
                     text_keys=text_keys,
                     keep_date_text=check_date_text,
                 )
-                for name, source in inputs.items()
+                for name, df in raw.items()
             }
         )
         annotated = annotate_all(normal, rules, stage)
 
-        # Looking keys up twice is cheaper than a staged copy of all clean rows. Rows with
-        # issues feed several outputs and are staged.
-        flagged = stage.tables(
-            {f"flagged_{name}": df.filter(F.size(ISSUES) > 0) for name, df in annotated.items()}
+        halves = dict(
+            zip(
+                annotated,
+                run_together(
+                    [lambda df=df, name=name: split_once(df, stage, name) for name, df in annotated.items()]
+                ),
+            )
         )
         results: dict[str, tuple[DataFrame, str]] = {}
         counts: dict[str, tuple[Observation, Observation]] = {}
         with_issues: dict[str, DataFrame] = {}
         reports: dict[str, DataFrame] = {}
-        for name, df in annotated.items():
+        for name, (faultless, faulty) in halves.items():
             own_rules = rules.get(name, ())
-            with_issues[name] = flagged[f"flagged_{name}"]
-            reports[name] = issue_report(with_issues[name], name, own_rules)
-            clean, clean_count = counted(clean_rows(df, own_rules, reject_on), f"clean_{name}")
+            with_issues[name] = faulty
+            reports[name] = issue_report(faulty, name, own_rules)
+            passed = faultless.drop(ISSUES)
+            if reject_on is not None:
+                # Some of the rows with issues are tolerated.
+                passed = passed.unionByName(clean_rows(faulty, own_rules, reject_on))
+            clean, clean_count = counted(passed, f"clean_{name}")
             rejected, rejected_count = counted(
-                rejected_rows(with_issues[name], own_rules, reject_on), f"rejected_{name}"
+                rejected_rows(faulty, own_rules, reject_on), f"rejected_{name}"
             )
             results[f"clean_{name}"] = (clean, "processed")
             results[f"rejected_{name}"] = (rejected, "rejected")

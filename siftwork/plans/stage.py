@@ -9,6 +9,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siftwork.sources.storage import Storage
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 JOBS_AT_ONCE = 8
 
@@ -32,6 +34,12 @@ def run_together(jobs: Iterable[Callable[[], object]]) -> list:
         return [done.result() for done in [pool.submit(job) for job in jobs]]
 
 
+def joins_by_shuffle(df: DataFrame) -> bool:
+    """Whether the plan, as made from the sizes known now, shuffles rows for a join."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
 class Stage:
     """A folder of Parquet tables for one run.
 
@@ -43,15 +51,22 @@ class Stage:
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.uri = f"{(folder or shared_folder(spark)).rstrip('/')}/siftwork-{uuid.uuid4().hex}"
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.uri}/{name}_{uuid.uuid4().hex[:8]}"
 
-    def table(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    def table(
+        self, df: DataFrame, name: str, compression: str = "snappy", partition_by: str | None = None
+    ) -> DataFrame:
         """Write ``df`` and return a scan of the written table."""
         path = self.path(name)
-        df.write.option("compression", compression).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        writer = df.write.option("compression", compression)
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        written = self.spark.read.schema(df.schema).parquet(path)
+        # The frame is held with its path, so that its identity stays its own.
+        self._paths[id(written)] = written, path
+        return written
 
     def tables(
         self, frames: Mapping[str, DataFrame], compression: str = "snappy"
@@ -74,7 +89,10 @@ class Stage:
 
     def drop(self) -> None:
         """Delete the run's tables; call it once no DataFrame reads them any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.uri)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).delete(path, True)
+        Storage(self.spark).delete(self.uri)
+
+    def drop_table(self, *tables: DataFrame) -> None:
+        """Delete single tables of ``table`` that no DataFrame reads any more."""
+        storage = Storage(self.spark)
+        for table in tables:
+            storage.delete(self._paths.pop(id(table))[1])

@@ -53,6 +53,11 @@ def missing_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataF
     )
 
 
+def csv_header(spark: SparkSession, uri: str, escape: str = '"') -> list[str]:
+    """Column names in the first line of a CSV file."""
+    return spark.read.option("header", True).option("escape", escape).csv(uri).columns
+
+
 def scan_csv(
     spark: SparkSession,
     uri: str | Sequence[str],

@@ -6,11 +6,14 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from siftwork.operators import kpi, order_checks
 from siftwork.operators.annotate import ISSUES, annotate
 from siftwork.operators.rules import Rule
+from siftwork.plans.orders import run_orders_job
+from siftwork.plans.quality import run_quality_pipeline
 from siftwork.plans.stage import Stage
 
 RULES = [
@@ -174,3 +177,70 @@ def test_rejected_orders_keep_one_row_per_id_and_reason(spark, stage):
     assert order_checks.clean_orders(checked).count() == sum(
         1 for row in rows if not any(k[0] == row[0] for k in kept)
     )
+
+
+def recorded(monkeypatch):
+    """Names and columns of the tables that get staged."""
+    staged = []
+    table = Stage.table
+
+    def record(self, df, name, *args, **kwargs):
+        staged.append((name, df.columns))
+        return table(self, df, name, *args, **kwargs)
+
+    monkeypatch.setattr(Stage, "table", record)
+    return staged
+
+
+def order_tables(spark, rows=4000):
+    orders = spark.range(rows).selectExpr(
+        "cast(if(id % 3 = 0, 7, id) as string) AS order_id", "cast(id % 50 as string) AS customer_id",
+        "cast(id % 30 as string) AS product_id", "'2024-01-02' AS order_date", "cast(id % 5 as string) AS quantity",
+        "'1.5' AS total_amount", "'eur' AS currency", "repeat('x', 50) AS payload",
+    )
+    customers = spark.range(45).selectExpr(
+        "cast(id as string) AS customer_id", "'n' AS full_name", "'a@b.c' AS email", "'pt' AS country", "'2024-01-01' AS registration_date"
+    )
+    products = spark.range(30).selectExpr("cast(id as string) AS product_id", "'p' AS product_name", "'c' AS category", "'1' AS price")
+    return {"orders": orders, "customers": customers, "products": products}
+
+
+def test_whole_orders_are_written_once(spark, tmp_path, monkeypatch):
+    staged = recorded(monkeypatch)
+    run = run_orders_job(spark, order_tables(spark), str(tmp_path / "out"))
+    # Of the staged tables, only those of rejected rows hold whole orders.
+    assert [name for name, columns in staged if "payload" in columns] == ["faulty_orders", "rejected"]
+    assert run.row_counts["orders"]["clean"] > 0
+
+
+@pytest.mark.parametrize("job", ["orders", "quality"])
+def test_shuffled_rows_are_annotated_once(spark, tmp_path, monkeypatch, settings, job):
+    tables = order_tables(spark)
+    run_job = run_orders_job if job == "orders" else run_quality_pipeline
+    expected = run_job(spark, tables, str(tmp_path / "a")).row_counts
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    staged, written = recorded(monkeypatch), []
+    write = DataFrameWriter.save
+
+    def record(self, path=None, *args, **kwargs):
+        written.append((path.rpartition("_")[2], plan(self._df)))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", record)
+    assert run_job(spark, tables, str(tmp_path / "b")).row_counts == expected
+    assert [name for name, columns in staged if "payload" in columns and name.startswith("marked")] == ["marked_orders"]
+    # The outputs with whole rows read both halves from there and join nothing.
+    halves = [text for name, text in written if name == "orders"]
+    assert len(halves) == 2 and not any("Join" in text for text in halves)
+
+
+def test_a_hot_product_is_one_row_per_task_without_unique_ids(spark):
+    orders = spark.range(9000).selectExpr(
+        "id AS order_id", "if(id % 3 = 0, 1, id) AS product_id", "1.0D AS quantity", "2.0D AS total_amount"
+    )
+    products = spark.range(9000).selectExpr("id AS product_id", "'c' AS category")
+    text = plan(kpi.category_sales_summary(orders, products))
+    for part in text.split("Join")[1:]:
+        # What meets the dimension has been added up or made distinct before.
+        assert "HashAggregate" in part
+    assert "Expand" not in text
