@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,32 @@ def joins_by_shuffle(df: DataFrame) -> bool:
     return "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
 
 
+_SHUFFLE_FILES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = threading.Lock()
+_writing: dict[str, list] = {}
+
+
+@contextmanager
+def _without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """While a staged table is written, Spark drops the shuffle files of a write at its end.
+
+    The table stands in for them. The session's own setting comes back after the last write.
+    """
+    held = _writing.setdefault(spark.sparkContext.applicationId, [0, None])
+    with _lock:
+        if not held[0]:
+            held[1] = spark.conf.get(_SHUFFLE_FILES, None)
+            spark.conf.set(_SHUFFLE_FILES, "true")
+        held[0] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            held[0] -= 1
+            if not held[0]:
+                spark.conf.set(_SHUFFLE_FILES, held[1] or "false")
+
+
 class Stage:
     """A folder of Parquet tables for one run.
 
@@ -62,7 +90,8 @@ class Stage:
         """Write ``df`` and return a scan of the written table."""
         path = self.path(name)
         writer = df.write.option("compression", compression)
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        with _without_shuffle_files(self.spark):
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)
         # The frame is held with its path, so that its identity stays its own.
         self._paths[id(written)] = written, path
