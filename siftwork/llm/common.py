@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftwork.plans.stage import Stage
+
 # ASCII white space, the only characters that separate words here.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
@@ -28,6 +30,12 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def repeats_ids(docs: DataFrame, id_col: str = "doc_id") -> bool:
+    """Whether rows share an id or have none; ids alone are read and merged on the map side."""
+    ids = docs.select(docs[id_col].cast("bigint").alias("id")).groupBy("id").count()
+    return bool(ids.filter("count > 1 or id is null").head(1))
+
+
 def as_binary(column: pa.Array) -> pa.Array:
     """A string column's UTF-8 bytes, without a copy."""
     if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
@@ -160,7 +168,7 @@ def union_length(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(depth[:-1]) > 0
 
 
-def repeated_cells(cells: DataFrame, width_bits: int) -> np.ndarray:
+def repeated_cells(cells: DataFrame, width_bits: int, stage: Stage) -> np.ndarray:
     """A bit for each cell of a count-min row: set if its count over all partitions exceeds one.
 
     ``cells`` has a column ``cell``, below 2**width_bits, once for each counted item. Partitions
@@ -170,16 +178,20 @@ def repeated_cells(cells: DataFrame, width_bits: int) -> np.ndarray:
     if not 6 <= width_bits <= 30:
         raise ValueError("width_bits must lie between 6 and 30")
     counted = cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1")
-    return cell_bitmap(counted, width_bits)
+    return cell_bitmap(counted, width_bits, stage)
 
 
-def cell_bitmap(cells: DataFrame, width_bits: int) -> np.ndarray:
-    """2**width_bits bits, set where ``cells`` has the number in its column ``cell``."""
-    words = (
-        cells.groupBy(F.shiftright("cell", 6).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits"))
-        .toArrow()
+def cell_bitmap(cells: DataFrame, width_bits: int, stage: Stage) -> np.ndarray:
+    """2**width_bits bits, set where ``cells`` has the number in its column ``cell``.
+
+    The words of the bitmap are written first, so that the shuffles behind them are dropped.
+    """
+    words = cells.groupBy(F.shiftright("cell", 6).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits")
     )
+    written = stage.table(words, "cells", "zstd")
+    words = written.toArrow()
+    stage.drop_table(written)
     bitmap = np.zeros(1 << (width_bits - 6), dtype=np.uint64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return bitmap

@@ -5,16 +5,19 @@ letters A-Z, digits and everything beyond ASCII. The automaton holds the windows
 and each document is scanned once in its normalised form. Hits are mapped back to words and to
 characters of the original text.
 
-Items go through the driver, as an automaton must be one whole. Their size is measured first:
-above ``block_bytes`` the items are dealt into blocks by id, each block has its own automaton,
-and hits are merged by document. So memory is bounded and no item is left out.
+Items go through the driver, as an automaton must be one whole; each Python worker builds it once.
+Their size is measured first: above ``block_bytes`` the items are dealt into blocks, and the rows go
+from one block's automaton to the next, with the hits so far, over a written table. So memory is
+bounded, no item is left out, and a row stays one row, whatever its id.
 
 Null texts and texts without words have no windows and no hits. Repeated items count once for
-each item id. Other columns are not read; an empty benchmark leaves every document clean.
+each item id; passages of an item without an id are hit and name no item. Other columns stay as they
+are; names that start with ``__siftwork_`` are taken. An empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -22,14 +25,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siftwork.llm.common import batches_of, id_and_text, read, records, runs_of
+from siftwork.llm.common import as_binary, id_and_text, read, runs_of
+from siftwork.plans.stage import Stage
 
 WINDOW = 13
 #: A document is contaminated if at least this share of its words is hit: 1 in 20.
 SHARE = 20
-#: Text of the items that one automaton may hold.
-BLOCK_BYTES = 32 << 20
+#: Text of the items that one automaton may hold; it has some thirteen nodes for each byte.
+BLOCK_BYTES = 4 << 20
 
 #: Bytes of a word as they are, letters A-Z lower-cased, all others a space.
 PLAIN = bytes(
@@ -38,19 +43,7 @@ PLAIN = bytes(
 )
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
-FOUND = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("n_words", pa.int64()),
-        ("hit_words", pa.list_(pa.int32())),
-        ("items", pa.list_(pa.string())),
-        ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-    ]
-)
-FOUND_DDL = (
-    "doc_id bigint, n_words bigint, hit_words array<int>, items array<string>, "
-    "spans array<struct<start: int, end: int>>"
-)
+N_WORDS, HIT, ITEMS = "__siftwork_n_words", "__siftwork_hit_words", "__siftwork_items"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -63,7 +56,7 @@ def windows_of(words: list[bytes], width: int = WINDOW) -> list[list[bytes]]:
     return [words[i : i + width] for i in range(max(1, len(words) - width + 1))]
 
 
-def automaton_of(items: list[tuple[str, bytes]], width: int = WINDOW):
+def automaton_of(items: list[tuple[str | None, bytes]], width: int = WINDOW):
     """The automaton, with (words of the window, ids of its items) at each of its words' ends."""
     import ahocorasick
 
@@ -71,7 +64,9 @@ def automaton_of(items: list[tuple[str, bytes]], width: int = WINDOW):
     for item_id, text in items:
         for window in windows_of(words_of(text), width):
             key = (b" " + b" ".join(window) + b" ").decode("latin-1")
-            owners.setdefault(key, (len(window), set()))[1].add(item_id)
+            named = owners.setdefault(key, (len(window), set()))[1]
+            if item_id is not None:
+                named.add(item_id)
     automaton = ahocorasick.Automaton()
     for key, (n_words, ids) in owners.items():
         automaton.add_word(key, (len(key), n_words, sorted(ids)))
@@ -80,11 +75,11 @@ def automaton_of(items: list[tuple[str, bytes]], width: int = WINDOW):
     return automaton if owners else None
 
 
-def scan(text: bytes, automaton) -> tuple[int, list[int], list[str], list[tuple[int, int]]]:
-    """(number of words, words hit, items, hit spans in characters of the text)."""
+def scan(text: bytes, automaton) -> tuple[int, set[int], set[str]]:
+    """(number of words, places of words hit, ids of the items found)."""
     words = words_of(text)
     if automaton is None or not words:
-        return len(words), [], [], []
+        return len(words), set(), set()
     line = b" " + b" ".join(words) + b" "
     hit, items, at, word = set(), set(), 0, 0
     for end, (length, n_words, ids) in automaton.iter(line.decode("latin-1")):
@@ -94,10 +89,7 @@ def scan(text: bytes, automaton) -> tuple[int, list[int], list[str], list[tuple[
         at = start
         hit.update(range(word, word + n_words))
         items.update(ids)
-    if not hit:
-        return len(words), [], [], []
-    hit_words = sorted(hit)
-    return len(words), hit_words, sorted(items), _spans(text.decode("utf-8"), hit_words)
+    return len(words), hit, items
 
 
 def _spans(text: str, hit_words: list[int]) -> list[tuple[int, int]]:
@@ -114,61 +106,108 @@ def _lower(text: str) -> str:
     return text.translate(_LOWER)
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
-    plain = items.select(
-        items[id_col].cast("string").alias("item_id"),
-        F.coalesce(items[text_col], F.lit("")).cast("binary").alias("text"),
-    )
-    size = plain.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+def _blocks(items: DataFrame, block_bytes: int) -> list[DataFrame]:
+    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = max(1, -(-int(size) * 2 // block_bytes)) if size > block_bytes else 1
     if n == 1:
-        return [plain]
-    return [plain.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b) for b in range(n)]
+        return [items]
+    return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) for b in range(n)]
 
 
-def find_hits(
+_built: dict[str, object] = {}
+
+
+def _automaton(key: str, items: list[tuple[str | None, bytes]], width: int):
+    """The automaton of a block of items, built once in each Python worker."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = automaton_of(items, width)
+    return _built[key]
+
+
+def scan_rows(
     docs: DataFrame,
     items: DataFrame,
-    id_col: str = "doc_id",
+    stage: Stage,
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     width: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Per document: doc_id, n_words, hit_words (places), items, spans in the original text."""
-    plain = id_and_text(docs, id_col, text_col)
-    found = []
-    for block in _blocks(items, item_id_col, item_text_col, block_bytes):
-        held = [
-            (row.item_id, bytes(row.text)) for row in block.collect() if row.item_id is not None
-        ]
-        found.append(plain.mapInArrow(_scanner(held, width), FOUND_DDL))
-    if len(found) == 1:
-        return found[0]
-    union = found[0]
-    for more in found[1:]:
-        union = union.union(more)
-    return union.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+    """The rows of ``docs`` as they are, with n_words, hit_words and items under ``__siftwork_`` names.
+
+    A row stays one row, however many blocks there are; it goes from one block's scan to the next.
+    """
+    plain = items.select(
+        items[item_id_col].cast("string").alias("item_id"),
+        F.coalesce(items[item_text_col].cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+    rows = docs.select(
+        "*",
+        F.lit(0).cast("bigint").alias(N_WORDS),
+        F.array().cast("array<int>").alias(HIT),
+        F.array().cast("array<string>").alias(ITEMS),
     )
+    place = docs.columns.index(text_col)
+    blocks = _blocks(plain, block_bytes)
+    for number, block in enumerate(blocks):
+        # The items of one block at a time; ``block_bytes`` bounds them.
+        held = sorted(((row.item_id, bytes(row.text)) for row in block.collect()), key=repr)
+        key = hashlib.sha256(repr((width, held)).encode()).hexdigest()
+        rows = rows.mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(held), key, width, place), rows.schema)
+        if number + 1 < len(blocks):
+            rows = stage.table(rows, "scanned", "zstd")
+    return rows
+
+
+def _scanner(items, key: str, width: int, place: int):
+    def scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(key, items.value, width)
+        for batch in batches:
+            texts = as_binary(batch.column(place))
+            n_words, hits, names = [], [], []
+            before = zip(batch.column(HIT).to_pylist(), batch.column(ITEMS).to_pylist())
+            for i, (had, named) in enumerate(before):
+                n, hit, ids = scan(texts[i].as_py() or b"", automaton)
+                n_words.append(n)
+                hits.append(sorted(hit.union(had)))
+                names.append(sorted(ids.union(named)))
+            columns = batch.columns[:-3]
+            columns += [pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
+    return scan_all
 
-def _scanner(items: list[tuple[str, bytes]], width: int):
-    def scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = automaton_of(items, width)
 
-        def rows():
-            for doc_id, text in records(batches):
-                n, hit, ids, spans = scan(text, automaton)
-                yield doc_id, n, hit, ids, [{"start": a, "end": b} for a, b in spans]
+def find_hits(
+    docs: DataFrame,
+    items: DataFrame,
+    stage: Stage,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    **options: object,
+) -> DataFrame:
+    """Per document: doc_id, n_words, hit_words (places), items. Options are those of ``scan_rows``."""
+    return scan_rows(id_and_text(docs, id_col, text_col), items, stage, **options).select(
+        "doc_id", F.col(N_WORDS).alias("n_words"), F.col(HIT).alias("hit_words"), F.col(ITEMS).alias("items")
+    )
 
-        return batches_of(rows(), FOUND)
 
-    return scan_all
+def find_spans(docs: DataFrame, items: DataFrame, stage: Stage, text_col: str = "text", **options: object) -> DataFrame:
+    """The rows of ``docs`` with ``spans``, the hit stretches in characters of the original text."""
+    rows = scan_rows(docs, items, stage, text_col, **options)
+
+    def spans(batches):
+        place = docs.columns.index(text_col)
+        for batch in batches:
+            texts, hits = batch.column(place).to_pylist(), batch.column(HIT).to_pylist()
+            found = [[{"start": a, "end": b} for a, b in _spans(t, h)] if h else [] for t, h in zip(texts, hits)]
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(found, kind)], [*batch.schema.names[:-3], "spans"])
+
+    added = StructType.fromDDL("spans array<struct<start: int, end: int>>")
+    return rows.mapInArrow(spans, StructType([*docs.schema.fields, *added.fields]))
 
 
 def judged(hits: DataFrame, share: int = SHARE) -> DataFrame:
@@ -185,14 +224,13 @@ def judged(hits: DataFrame, share: int = SHARE) -> DataFrame:
     )
 
 
-def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    bad = judged(find_hits(docs, items)).filter("contaminated")
-    bad = bad.select(F.col("doc_id").alias("bad_id"))
-    return docs.join(bad, docs["doc_id"] == bad["bad_id"], "left_anti")
+def keep_clean(docs: DataFrame, items: DataFrame, stage: Stage, share: int = SHARE) -> DataFrame:
+    """The documents that are not contaminated, with all their columns; decided where they are scanned."""
+    n_hit = F.size(HIT)
+    contaminated = (n_hit > 0) & (share * n_hit >= F.col(N_WORDS))
+    return scan_rows(docs, items, stage).filter(~contaminated).select(*docs.columns)
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    hits = find_hits(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
-    return judged(hits)
-
+    docs, items = read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    return judged(find_hits(docs, items, Stage(spark)))

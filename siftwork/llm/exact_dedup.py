@@ -1,31 +1,51 @@
 """Exact deduplication over an extendible-hash index on shared files, in DataFrame functions.
 
-Every normalised text gets a 64-bit hash. The index holds each distinct text once, in a bucket
-of its directory, which is addressed by the hash's leading bits. A directory starts small; as
-long as a bucket holds more than ``capacity`` texts it is split by one more bit, and the
-directory doubles when that bit is new to it. Owner tasks, one for each range of keys, chain
-texts of equal hash and compare their bytes. Copies are merged in each task before anything
-moves, so a text with any number of copies costs one row per task.
+Every normalised text gets a 64-bit hash. The index's directory is addressed by the hash's leading bits
+and grown from the counts of different hashes alone: it starts with one bucket; as long as a
+bucket holds more than ``capacity`` of them it is split by one more bit, and the directory doubles
+when that bit is new to it. ``capacity`` grows with the corpus, so that the directory keeps below a few
+times 2**MAX_BUCKETS_LOG slots, which are sent to all tasks.
+
+The directory then routes each row to its bucket, in the one exchange that texts go through. The task
+that owns a bucket, a range of keys, chains its rows by hash and compares bytes within a chain: rows of
+equal texts form a group, ordered so that the one that stays comes first. It answers for its
+rows, and the buckets are written as files, sorted by bucket and hash, in which the first row of each
+text carries the bytes.
+
+A hash held by more than a thousandth of the rows (``HOT_SHARE``) is hot; there are at most a thousand.
+Its rows are dealt over several parts of the bucket by id and text, and the parts' first rows, a few for each
+hot text, are chained and compared once more. So no task gets more than a small share of a text's copies, unless
+they are the same row with the same id over and over, which meet in one task that sorts them.
 
 Nulls count as empty texts, which are copies of each other and of texts of white space only.
-Equal texts of equal length leave the one with the smallest id. Other columns of the input are
-not read. An empty table gives an empty result. Repeated ids are kept as they are, as one row each.
+Equal texts of equal length leave the one with the smallest id; a null id comes after all others, and
+of rows with one id one stays. Each row gets its own answer, so repeated or null ids lose and keep no
+other row. Other columns pass through only where ``carry`` names them; names that start with
+``__siftwork_`` are taken. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftwork.llm.common import SPACE_CLASS, id_and_text, read
+from siftwork.llm.common import read
 from siftwork.plans.stage import Stage
 
-#: Distinct texts that a bucket takes before it is split.
-CAPACITY = 100_000
-#: Bits of the hash that a directory may use; beyond it a bucket grows.
-MAX_DEPTH = 16
+#: Different hashes that a bucket takes before it is split, at least.
+CAPACITY = 2_000
+#: The directory has some 2**MAX_BUCKETS_LOG buckets at most; larger corpora have larger buckets.
+MAX_BUCKETS_LOG = 15
+#: A hash of more than one in so many rows is hot, if these are HOT_ROWS at least.
+HOT_SHARE, HOT_ROWS = 1000, 1000
+SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
+
+_H = "__siftwork_"
+HASH, PLAIN, BUCKET, PART, POINTS, ID = (_H + x for x in ("hash", "plain", "bucket", "part", "points", "id"))
+NTH, SIZE, KEEP, TIE = (_H + x for x in ("nth", "size", "keep", "tie"))
 
 
 @dataclass(frozen=True)
@@ -43,13 +63,13 @@ class Directory:
             out += [(first + i, first) for i in range(1 << (self.depth - depth))]
         return out
 
-    def address(self, keys: DataFrame) -> DataFrame:
-        """``keys`` with the bucket of their hash; the directory has 2**MAX_DEPTH slots at most."""
+    def route(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the bucket of their hash; the slots are few whatever the corpus."""
         if self.depth == 0:
-            return keys.withColumn("bucket", F.lit(0))
-        slots = keys.sparkSession.createDataFrame(self.slots(), "slot int, bucket int")
-        addressed = keys.withColumn("slot", leading_bits(F.col("hash"), self.depth))
-        return addressed.join(F.broadcast(slots), "slot").drop("slot")
+            return rows.withColumn(BUCKET, F.lit(0))
+        slot = _H + "slot"
+        slots = rows.sparkSession.createDataFrame(self.slots(), f"{slot} int, {BUCKET} int")
+        return rows.withColumn(slot, leading_bits(F.col(HASH), self.depth)).join(F.broadcast(slots), slot).drop(slot)
 
 
 def leading_bits(hash_column: Column, depth: int) -> Column:
@@ -59,37 +79,29 @@ def leading_bits(hash_column: Column, depth: int) -> Column:
 
 
 def normalised(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", "")
-
-
-def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, hash, digest and length of the text; no text."""
-    plain = normalised(F.col("text"))
-    return id_and_text(docs, id_col, text_col).select(
-        "doc_id",
-        F.xxhash64(plain).alias("hash"),
-        F.unhex(F.sha2(plain, 256)).alias("digest"),
-        F.length("text").cast("bigint").alias("n_points"),
-    )
+    return F.translate(F.coalesce(text.cast("string"), F.lit("")), SPACES, "")
 
 
-def grow_directory(keys: DataFrame, capacity: int = CAPACITY) -> Directory:
+def grow_directory(hashes: DataFrame, capacity: int = CAPACITY, n_hashes: int | None = None) -> Directory:
     """Split overfull buckets until all fit, counting only the buckets that were just split.
 
-    ``keys`` has a row for each distinct text. A round is one count by leading bits; the driver
-    holds at most 2**MAX_DEPTH bucket numbers.
+    ``hashes`` has a row for each different hash, so a bucket always gets smaller by splitting. A round is
+    one count by leading bits; the driver holds the numbers of the buckets.
     """
+    n = hashes.count() if n_hashes is None else n_hashes
+    capacity = max(capacity, n >> MAX_BUCKETS_LOG)
     done: list[tuple[int, int]] = []
     depth = 0
-    overfull = [0] if keys.count() > capacity else []
+    overfull = [0] if n > capacity else []
     if not overfull:
         return Directory(0, ((0, 0),))
-    while overfull and depth < MAX_DEPTH:
+    while overfull and depth < 30:
         depth += 1
-        parents = leading_bits(F.col("hash"), depth - 1)
+        inside = _H + "parent"
+        parents = hashes.sparkSession.createDataFrame([(x,) for x in overfull], f"{inside} int")
         counted = dict(
-            keys.filter(F.array_contains(F.lit(overfull), parents))
-            .groupBy(leading_bits(F.col("hash"), depth).alias("bits"))
+            hashes.join(F.broadcast(parents), leading_bits(F.col(HASH), depth - 1) == F.col(inside))
+            .groupBy(leading_bits(F.col(HASH), depth).alias("bits"))
             .count()
             .collect()
         )
@@ -99,66 +111,129 @@ def grow_directory(keys: DataFrame, capacity: int = CAPACITY) -> Directory:
     return Directory(depth, tuple(sorted(done + [(bits, depth) for bits in overfull])))
 
 
-def build_index(
+def _before() -> list[Column]:
+    return [F.desc(POINTS), F.asc_nulls_last(ID), F.asc(TIE)]
+
+
+def chained(
     docs: DataFrame,
     stage: Stage,
     id_col: str = "doc_id",
     text_col: str = "text",
     capacity: int = CAPACITY,
-) -> tuple[DataFrame, DataFrame]:
-    """(entries of all documents, index of distinct texts), both as tables on shared files.
+    hot_rows: int = HOT_ROWS,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Each row in its bucket, with its place in the chain of its text's copies.
 
-    The index is dealt by ranges of keys in bucket order and sorted by hash within, with
-    ``bucket, hash, digest, bytes, n_copies``. Grouping by hash and text compares bytes.
+    Columns: those of ``carry``, and the ``__siftwork_`` ones for hash, bucket, plain text, id, place
+    (1 stays), size of the group, and the id that stays.
     """
-    listed = stage.table(entries(docs, id_col, text_col), "entries", compression="zstd")
-    directory = grow_directory(listed.select("hash", "digest").distinct(), capacity)
-    plain = id_and_text(docs, id_col, text_col).select(normalised(F.col("text")).alias("bytes"))
-    chained = (
-        plain.withColumn("hash", F.xxhash64("bytes"))
-        .groupBy("hash", "bytes")
-        .agg(F.count("*").alias("n_copies"))
+    rows = docs.select(
+        *[docs[name] for name in carry],
+        docs[id_col].cast("bigint").alias(ID),
+        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias(_H + "text"),
+    )
+    # Rows of one id and text may differ in other columns; these decide then.
+    tie = F.xxhash64(*[rows[name] for name in carry]) if carry else F.lit(0).cast("bigint")
+    rows = rows.withColumns({HASH: F.xxhash64(normalised(F.col(_H + "text"))), TIE: tie})
+    counted = rows.groupBy(HASH).agg(F.count(F.lit(1)).alias("copies"))
+    counted = stage.table(counted, "hashes", "zstd")
+    n_hashes, n_rows = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    directory = grow_directory(counted.select(HASH), capacity, n_hashes)
+    limit = max(hot_rows, n_rows // HOT_SHARE)
+    hot = counted.filter(F.col("copies") > limit)
+    # At most HOT_SHARE rows.
+    parts = [(row[HASH], -(-row.copies // limit)) for row in hot.collect()]
+    stage.drop_table(counted)
+    own = _placed(rows, directory, parts)
+    if not parts:
+        return own
+    firsts = own.filter((F.col(NTH) == 1) & F.col(HASH).isin([h for h, _ in parts]))
+    firsts = firsts.select(HASH, PLAIN, PART, POINTS, ID, TIE, F.col(SIZE).alias(_H + "held"))
+    group = Window.partitionBy(HASH, PLAIN)
+    order = group.orderBy(*_before(), PART)
+    merged = firsts.select(
+        F.col(HASH).alias(_H + "of_hash"),
+        F.unhex(F.sha2(PLAIN, 256)).alias(_H + "of_digest"),
+        F.col(PART).alias(_H + "of_part"),
+        F.row_number().over(order).alias(_H + "of_rank"),
+        F.first(ID).over(order).alias(_H + "of_keep"),
+        F.sum(_H + "held").over(group).alias(_H + "of_total"),
     )
-    owned = (
-        directory.address(chained)
-        .repartitionByRange("bucket", "hash")
-        .sortWithinPartitions("bucket", "hash")
-        .select("bucket", "hash", F.unhex(F.sha2("bytes", 256)).alias("digest"), "bytes", "n_copies")
+    # A few rows for each hot text, at most 2 * HOT_SHARE and their collisions.
+    merged = F.broadcast(stage.table(merged, "hot", "uncompressed"))
+    same = (F.col(HASH) == F.col(_H + "of_hash")) & (F.col(PART) == F.col(_H + "of_part"))
+    same &= F.unhex(F.sha2(PLAIN, 256)) == F.col(_H + "of_digest")
+    return own.join(merged, same, "left").select(
+        *[own[name] for name in own.columns if name not in (NTH, SIZE, KEEP)],
+        F.when((F.col(_H + "of_rank") > 1) & (F.col(NTH) == 1), 2).otherwise(F.col(NTH)).alias(NTH),
+        F.coalesce(_H + "of_total", SIZE).alias(SIZE),
+        F.when(F.col(_H + "of_rank").isNotNull(), F.col(_H + "of_keep")).otherwise(F.col(KEEP)).alias(KEEP),
     )
-    return listed, stage.table(owned, "index", "zstd")
 
 
-def find_copies(
-    docs: DataFrame,
-    stage: Stage,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    capacity: int = CAPACITY,
-) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket.
+def _placed(rows: DataFrame, directory: Directory, parts: list[tuple[int, int]]) -> DataFrame:
+    """Rows in the tasks that own their buckets, chained by hash and compared by bytes."""
+    routed = directory.route(rows)
+    if parts:
+        dealt = rows.sparkSession.createDataFrame(parts, f"{_H}of_hash bigint, {_H}parts bigint")
+        routed = routed.join(F.broadcast(dealt), F.col(HASH) == F.col(_H + "of_hash"), "left").withColumn(
+            PART,
+            F.coalesce(F.pmod(F.xxhash64(ID, _H + "text"), F.col(_H + "parts")), F.lit(0)).cast("int"),
+        )
+        routed = routed.drop(_H + "of_hash", _H + "parts")
+    else:
+        routed = routed.withColumn(PART, F.lit(0))
+    owned = routed.repartition(BUCKET, PART).select(
+        *[name for name in routed.columns if name != _H + "text"],
+        normalised(F.col(_H + "text")).alias(PLAIN),
+        F.length(_H + "text").cast("bigint").alias(POINTS),
+    )
+    group = Window.partitionBy(BUCKET, PART, HASH, PLAIN)
+    order = group.orderBy(*_before())
+    return owned.select(
+        "*",
+        F.row_number().over(order).alias(NTH),
+        F.first(ID).over(order).alias(KEEP),
+    ).withColumn(SIZE, F.count(F.lit(1)).over(group))
+
+
+def build_index(docs: DataFrame, stage: Stage, **options: object) -> DataFrame:
+    """The buckets as a table on shared files, a row for each document.
 
-    Each text of the index is a group. The member with most code points and then the smallest id
-    stays; it is found by a maximum that tasks compute before the shuffle.
+    Columns: bucket, hash, digest, doc_id, nth (1 stays), keep_id, group_size, and bytes, the normalised
+    text, on the first row of each text. Options are those of ``chained``.
     """
-    listed, index = build_index(docs, stage, id_col, text_col, capacity)
-    heads = listed.groupBy("hash", "digest").agg(
-        F.max(F.struct("n_points", (-F.col("doc_id")).alias("minus_id"))).alias("best")
+    rows = chained(docs, stage, **options).select(
+        F.col(BUCKET).alias("bucket"),
+        F.col(HASH).alias("hash"),
+        F.unhex(F.sha2(PLAIN, 256)).alias("digest"),
+        F.col(ID).alias("doc_id"),
+        F.col(NTH).alias("nth"),
+        F.col(KEEP).alias("keep_id"),
+        F.col(SIZE).alias("group_size"),
+        F.when(F.col(NTH) == 1, F.col(PLAIN)).alias("bytes"),
     )
-    groups = index.select("bucket", "hash", "digest", "n_copies").join(heads, ["hash", "digest"])
-    return listed.join(groups, ["hash", "digest"]).select(
+    return stage.table(rows.sortWithinPartitions("bucket", "hash"), "index", "zstd")
+
+
+def find_copies(docs: DataFrame, stage: Stage, **options: object) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket."""
+    return build_index(docs, stage, **options).select(
         "doc_id",
-        (-F.col("best.minus_id")).alias("keep_id"),
-        F.col("n_copies").alias("group_size"),
-        (F.col("doc_id") == -F.col("best.minus_id")).alias("kept"),
+        "keep_id",
+        "group_size",
+        (F.col("nth") == 1).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
-        F.col("bucket").cast("int").alias("bucket"),
+        "bucket",
     )
 
 
-def keep_first_copies(docs: DataFrame, stage: Stage) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = find_copies(docs, stage).filter("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+def keep_first_copies(docs: DataFrame, stage: Stage, **options: object) -> DataFrame:
+    """The documents that stay, with all their columns, straight from the tasks that own the buckets."""
+    kept = chained(docs, stage, carry=docs.columns, **options).filter(F.col(NTH) == 1)
+    return kept.select(*docs.columns)
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,6 +44,7 @@ from siftwork.llm.common import (
     read,
     records,
     repeated_cells,
+    repeats_ids,
     word_hashes,
 )
 from siftwork.llm.components import components
@@ -57,6 +58,7 @@ SKETCH_BITS = 21
 #: Cells of the bitmap that tells which short lists have a second document.
 CELL_BITS = 26
 
+ROW, NODE = "__siftwork_row", "__siftwork_node"
 #: Lists whose pairs are at most so many for each member are searched as a whole.
 PAIRS_A_MEMBER = 20
 
@@ -134,7 +136,7 @@ def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> D
             yield pa.RecordBatch.from_pydict({"cell": pa.array(cell)})
 
     bitmap = context.broadcast(
-        repeated_cells(docs.mapInArrow(cells, "cell bigint"), CELL_BITS)
+        repeated_cells(docs.mapInArrow(cells, "cell bigint"), CELL_BITS, stage)
     )
 
     def lists(batches):
@@ -158,7 +160,7 @@ def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> D
 def probe(
     pairs: DataFrame, docs: DataFrame, stage: Stage, width: int, similarity: int
 ) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity; only their documents' texts are moved."""
+    """The pairs (a, b) whose sets reach the similarity, as a table; only their documents' texts are moved."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     ends = stage.key_sets({"ends": ends})["ends"]
     held = docs.join(ends, F.col("doc_id") == F.col("end"), "left_semi")
@@ -185,7 +187,9 @@ def probe(
     of_a = texts.select(F.col("doc_id").alias("a"), F.col("bytes").alias("text_a"))
     of_b = texts.select(F.col("doc_id").alias("b"), F.col("bytes").alias("text_b"))
     joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(check, "a bigint, b bigint")
+    links = stage.table(joined.mapInArrow(check, "a bigint, b bigint"), "links", "zstd")
+    stage.drop_table(ends, texts)
+    return links
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -289,7 +293,7 @@ def find_links(
     width: int = SHINGLE_WORDS,
     similarity: int = SIMILARITY,
 ) -> tuple[DataFrame, DataFrame]:
-    """(lists by document, components of ``components``) for the links between documents."""
+    """(doc_id and n_shingles, components of ``components``) for the links between documents."""
     plain = id_and_text(docs, id_col, text_col)
     listed = build_lists(plain, stage, width, similarity)
     # Members of one size class have sizes within the similarity of each other.
@@ -305,6 +309,8 @@ def find_links(
         ),
         "members", "zstd",
     )
+    sizes = stage.table(listed.select("doc_id", "n_shingles"), "sizes", "zstd")
+    stage.drop_table(listed)
     tried = found = None
     left, last = lists, False
     for pick in itertools.cycle((F.min, F.max)):
@@ -312,7 +318,7 @@ def find_links(
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage.table(pairs, "pairs", "zstd")
-        links = stage.table(probe(pairs, plain, stage, width, similarity), "links", "zstd")
+        links = probe(pairs, plain, stage, width, similarity)
         tried = pairs if tried is None else tried.union(pairs)
         joined = links.count() > 0
         if joined or found is None:
@@ -320,13 +326,14 @@ def find_links(
             known = links if found is None else links.union(found.toDF("a", "b"))
             found = components(known, stage)
         if last:
-            return listed, found
+            return sizes, found
         # A list of one component stays one, so only the lists left need another look.
-        left = stage.table(_mixed(left, found), "mixed", "zstd")
+        before, left = left, stage.table(_mixed(left, found), "mixed", "zstd")
+        stage.drop_table(before)
         n = left.groupBy("shingle").count().agg(F.sum("count"), F.sum(F.expr("count * count")))
         members, all_pairs = n.first()
         if not members:
-            return listed, found
+            return sizes, found
         # Where stars join nothing any more, what is left are lists of unlike documents.
         last = not joined or all_pairs <= PAIRS_A_MEMBER * members
 
@@ -339,10 +346,19 @@ def near_duplicates(docs: DataFrame, stage: Stage, **options) -> DataFrame:
     )
 
 
-def keep_one_of_each(docs: DataFrame, stage: Stage, **options) -> DataFrame:
-    """The documents that are their component's smallest, with all their columns."""
-    _, found = find_links(docs, stage, **options)
-    return docs.join(found.select("node"), docs["doc_id"] == F.col("node"), "left_anti")
+def keep_one_of_each(docs: DataFrame, stage: Stage, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row of each component, with all its columns: the one with the smallest id.
+
+    Where ids repeat or are missing, rows are numbered first, in a written table, and the first row of
+    each component stays; so no row is kept or lost for the id it shares.
+    """
+    if repeats_ids(docs, id_col):
+        rows = stage.table(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows", "zstd")
+    else:
+        rows = docs.withColumn(ROW, docs[id_col].cast("bigint"))
+    _, found = find_links(rows, stage, id_col=ROW, **options)
+    dropped = stage.key_sets({"dropped": found.select(F.col("node").alias(NODE))})["dropped"]
+    return rows.join(dropped, F.col(ROW) == F.col(NODE), "left_anti").select(*docs.columns)
 
 
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,15 +4,21 @@ Evidence for each language: the text's likelihood under byte trigrams, the langu
 markup or a column declares, the suffix or path part of the address, and a prior from the host.
 Declarations and addresses err, so their likelihoods are learned: grouped counts of what is declared
 against what the text says. A host's prior is smoothed towards its domain's, and that towards the
-prior of all; each is a grouped count too, and a document's own vote is taken out of it.
-
-Trigram tables are fitted on a bounded sample of labelled rows (``TRAIN_ROWS``); all other counts
-cover all rows. Text evidence is tempered: neighbouring trigrams depend on each other.
-
-A document is accepted if the best language's posterior reaches ``ACCEPT``. Null and empty texts,
-and texts without letters, carry no text evidence and are not accepted; they keep the prior's
-language. Null declarations, addresses and hosts carry no evidence. Repeated ids are kept as rows of
-their own. Without a labelled row there is no language, and nothing is accepted.
+prior of all; each is a grouped count too, and a document's own vote is taken out of it. One more
+hypothesis is that the language is none of those known: its text is as likely as chance, and a declaration
+that no language has a table for speaks for it.
+
+Trigram tables are fitted on a bounded sample of labelled rows (``TRAIN_ROWS``), about as many of each
+language, so that none is left out; a table's counts are smoothed towards those of all languages together, which
+decides for a language of few rows. All other counts cover all rows. Text evidence is tempered: neighbouring
+trigrams depend on each other.
+
+A document is accepted if the best hypothesis is a language and its posterior reaches ``ACCEPT``. Null and
+empty texts, and texts without letters, carry no text evidence and are not accepted; they keep the prior's
+language. Null declarations, addresses and hosts carry no evidence. Of languages that are as likely the one
+later in the alphabet is named. Decisions follow from text, declaration and host alone, so rows that share an id, or
+have none, are judged one by one. Other columns are not read, whatever their names (``__siftwork_`` is
+taken). Without a labelled row there is no language, and nothing is accepted.
 """
 
 from __future__ import annotations
@@ -29,14 +35,19 @@ from siftwork.plans.stage import Stage
 
 #: Labelled rows on which the trigram tables are fitted, about.
 TRAIN_ROWS = 8_000
-#: Languages with fewer rows than this in the sample are left out, and at most so many are kept.
-MIN_ROWS, LANGUAGES = 5, 64
 BUCKETS = 1 << 15
+#: Trigrams of all languages that a language's own counts are smoothed with.
+SMOOTHING = 2_000.0
+#: Tables that a task adds up before it hands them on.
+TABLES_AT_ONCE = 64
+#: Prior of a language that is none of those known, and the trigrams over which chance spreads its texts.
+UNKNOWN, CHANCE_TRIGRAMS = 0.001, BUCKETS / 4
 #: Weight of the text: as of so many independent trigrams, at most.
 TEXT_WEIGHT = 40.0
 #: Pseudo-counts: of a domain's prior in a host's, of all in a domain's, and of a declaration.
 HOST_WEIGHT, DOMAIN_WEIGHT, DECLARED_WEIGHT = 10.0, 50.0, 5.0
 ACCEPT = 0.6
+_H = "__siftwork_"
 
 _TAGS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]+;")
 #: Bytes of letters, lower-cased; everything else is one blank.
@@ -87,51 +98,57 @@ def suffix_of(url: Column) -> Column:
 
 
 def fit_trigrams(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
-    """(languages, log likelihoods by bucket and language) from columns label and text."""
+    """(languages, log likelihoods by bucket and language) from columns label and text.
+
+    Labels are subtags of two or three letters, which bounds their number; each has a table of
+    ``BUCKETS`` numbers.
+    """
     known = labelled.filter("label is not null and text is not null")
-    total = known.count()
-    share = min(1.0, rows / max(total, 1))
-    chosen = known.filter(F.pmod(F.xxhash64("text", "label"), F.lit(1_000_000)) < int(share * 1_000_000))
-    schema = pa.schema([("label", pa.string()), ("n", pa.int64()), ("counts", pa.binary())])
+    counted = known.groupBy("label").count().collect()
+    quota = max(1, rows // max(len(counted), 1))
+    shares = [(row.label, min(1_000_000, quota * 1_000_000 // row["count"] + 1)) for row in counted]
+    chosen = known.join(
+        F.broadcast(known.sparkSession.createDataFrame(shares, "of_label string, share bigint")),
+        F.col("label") == F.col("of_label"),
+    ).filter(F.pmod(F.xxhash64("text", "label"), F.lit(1_000_000)) < F.col("share"))
+    schema = pa.schema([("label", pa.string()), ("counts", pa.binary())])
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
+
+        def handed_on():
+            return batches_of(((k, v.astype(np.int32).tobytes()) for k, v in sums.items()), schema)
+
         for batch in batches:
             for label, text in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.bincount(trigrams(text.encode()), minlength=BUCKETS)
-                sums[label] = sums.get(label, 0) + own
-                rows[label] = rows.get(label, 0) + 1
-                if len(sums) > LANGUAGES:
-                    yield from batches_of(((k, rows[k], v.astype(np.int32).tobytes()) for k, v in sums.items()), schema)
-                    sums, rows = {}, {}
-        yield from batches_of(((k, rows[k], v.astype(np.int32).tobytes()) for k, v in sums.items()), schema)
+                sums[label] = sums.get(label, 0) + np.bincount(trigrams(text.encode()), minlength=BUCKETS)
+                if len(sums) > TABLES_AT_ONCE:
+                    yield from handed_on()
+                    sums = {}
+        yield from handed_on()
 
-    parts = chosen.select("label", "text").mapInArrow(count, "label string, n bigint, counts binary")
+    parts = chosen.select("label", "text").mapInArrow(count, "label string, counts binary")
 
     def merge(key, table):
         total = sum(np.frombuffer(x, dtype=np.int32).astype(np.int64) for x in table["counts"].to_pylist())
-        n = sum(table["n"].to_pylist())
-        return pa.table({"label": [key[0].as_py()], "n": [n], "counts": [total.astype(np.int64).tobytes()]}, schema=schema)
-
-    found = (
-        parts.groupBy("label")
-        .applyInArrow(merge, "label string, n bigint, counts binary")
-        .filter(F.col("n") >= MIN_ROWS)
-        .orderBy(F.desc("n"), "label")
-        .limit(LANGUAGES)
-        .collect()
-    )
-    found.sort(key=lambda row: row.label)
-    table = np.zeros((BUCKETS, len(found)), dtype=np.float32)
-    for i, row in enumerate(found):
-        counts = np.frombuffer(row.counts, dtype=np.int64) + 0.5
-        table[:, i] = np.log(counts / counts.sum())
-    return [row.label for row in found], table
+        return pa.table({"label": [key[0].as_py()], "counts": [total.astype(np.int64).tobytes()]}, schema=schema)
+
+    found = parts.groupBy("label").applyInArrow(merge, "label string, counts binary").collect()
+    # A language may have no row in the sample by chance; it has the counts of all, then.
+    counts = {label: np.zeros(BUCKETS) for label, _ in shares}
+    counts |= {row.label: np.frombuffer(row.counts, dtype=np.int64).astype(float) for row in found}
+    languages = sorted(counts)
+    everything = sum(counts.values(), np.zeros(BUCKETS)) + 0.5
+    everything /= everything.sum()
+    table = np.zeros((BUCKETS, len(languages)), dtype=np.float32)
+    for i, label in enumerate(languages):
+        own = counts[label]
+        table[:, i] = np.log((own + SMOOTHING * everything) / (own.sum() + SMOOTHING))
+    return languages, table
 
 
 def score_texts(docs: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
-    """Keeps all columns but text, and adds n_trigrams, evidence (log likelihoods) and vote."""
+    """Keeps all columns but text, and adds n_trigrams, evidence (log likelihoods, last that of chance) and vote."""
     model = docs.sparkSession.sparkContext.broadcast(table)
     others = [c for c in docs.columns if c not in ("text", "is_markup")]
 
@@ -144,12 +161,13 @@ def score_texts(docs: DataFrame, languages: list[str], table: np.ndarray) -> Dat
                 n = len(grams)
                 sizes.append(n)
                 if not n or not languages:
-                    evidence.append([0.0] * len(languages))
+                    evidence.append([0.0] * (len(languages) + 1))
                     votes.append(None)
                     continue
                 mean = model.value[grams].sum(axis=0, dtype=np.float64) / n
                 weight = min(TEXT_WEIGHT, n)
-                evidence.append((weight * (mean - mean.max())).tolist())
+                chance = -np.log(CHANCE_TRIGRAMS)
+                evidence.append((weight * (np.append(mean, chance) - mean.max())).tolist())
                 votes.append(languages[int(mean.argmax())])
             columns = [batch.column(c) for c in others]
             columns += [pa.array(sizes, pa.int64()), pa.array(evidence, pa.list_(pa.float64())), pa.array(votes, pa.string())]
@@ -173,14 +191,16 @@ def fuse(scored: DataFrame, languages: list[str], stage: Stage) -> DataFrame:
             "*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted")
         )
     scored = stage.table(scored, "scored", "zstd")
-    votes = {by: _votes(scored, by, languages) for by in ("host", "domain", "declared", "suffix")}
+    # Written as they are, so that the planner sees which are small enough to broadcast.
+    votes = stage.key_sets({by: _votes(scored, by, languages) for by in ("host", "domain", "declared", "suffix")})
     sums = [F.sum((F.col("vote") == x).cast("double")) for x in languages]
     everything = [float(x or 0) for x in scored.agg(*sums).first()]
     n_all = sum(everything)
     joined = scored
     for by, counted in votes.items():
         joined = joined.join(counted, by, "left")
-    tags = {by: scored.agg(F.approx_count_distinct(by)).first()[0] + 1.0 for by in ("declared", "suffix")}
+    tags = {by: votes[by].count() + 1.0 for by in ("declared", "suffix")}
+    modelled = F.col("declared").isin(*languages)
     scores = []
     for i, language in enumerate(languages):
         own = F.when(F.col("vote") == language, 1.0).otherwise(0.0)
@@ -201,17 +221,23 @@ def fuse(scored: DataFrame, languages: list[str], stage: Stage) -> DataFrame:
             likelihood = (count(by) + DECLARED_WEIGHT / tags[by]) / (everything[i] + DECLARED_WEIGHT)
             score = score + F.when(F.col(by).isNotNull(), F.log(likelihood)).otherwise(0.0)
         scores.append(F.struct(score.alias("score"), F.lit(language).alias("language")))
+    # Of a language that is not known, any declaration is as likely, and one without a table likelier.
+    none = F.col("evidence")[len(languages)] + float(np.log(UNKNOWN))
+    none = none + F.when(F.col("declared").isNull(), 0.0).when(modelled, float(-np.log(tags["declared"]))).otherwise(float(np.log(0.5)))
+    none = none - F.when(F.col("suffix").isNull(), 0.0).otherwise(float(np.log(tags["suffix"])))
+    scores.append(F.struct(none.alias("score"), F.lit(None).cast("string").alias("language")))
     best = F.array_max(F.array(*scores))
     fused = joined.select(*scored.columns, F.array(*scores).alias("scores"), best.alias("best"))
     mass = F.aggregate("scores", F.lit(0.0), lambda x, y: x + F.exp(y["score"] - F.col("best.score")))
     fused = fused.withColumn("posterior", 1.0 / mass).withColumn("language", F.col("best.language"))
-    accepted = (F.col("n_trigrams") > 0) & (F.col("posterior") >= ACCEPT)
+    accepted = (F.col("n_trigrams") > 0) & (F.col("posterior") >= ACCEPT) & F.col("language").isNotNull()
     return fused.withColumn("accepted", accepted).drop("scores", "best")
 
 
-def of_documents(docs: DataFrame) -> DataFrame:
+def of_documents(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Evidence of documents: their text, the language column and the source as host."""
     return docs.select(
+        *carry,
         docs["doc_id"].cast("bigint").alias("doc_id"),
         F.lit(None).cast("bigint").alias("page_id"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
@@ -248,11 +274,24 @@ def labels_of(docs: DataFrame) -> DataFrame:
     return docs.select(subtag(docs["lang"]).alias("label"), docs["text"].cast("string").alias("text"))
 
 
+def _content(docs: DataFrame, names: tuple[str, str]) -> dict[str, Column]:
+    """Two hashes of all that the decision on a document rests on."""
+    judged = [docs[name].cast("string") for name in ("text", "lang", "source")]
+    return {name: F.xxhash64(F.lit(i), *judged) for i, name in enumerate(names)}
+
+
 def keep_identified(docs: DataFrame, stage: Stage) -> DataFrame:
-    """The documents that are accepted, with all their columns."""
-    judged = identify(of_documents(docs), labels_of(docs), stage)
-    refused = judged.filter("not accepted").select(F.col("doc_id").alias("refused_id"))
-    return docs.join(refused, docs["doc_id"].eqNullSafe(F.col("refused_id")), "left_anti")
+    """The documents that are accepted, with all their columns.
+
+    The refused are told by two hashes of text, declaration and source, which are all that the decision
+    rests on; so a row is never dropped for the id it shares, and only hashes are shuffled.
+    """
+    own, other = (_H + "a", _H + "b"), (_H + "c", _H + "d")
+    keyed = of_documents(docs.withColumns(_content(docs, own)), own)
+    refused = identify(keyed, labels_of(docs), stage).filter("not accepted").select(*own).distinct()
+    refused = stage.key_sets({"refused": refused.toDF(*other)})["refused"]
+    same = (F.col(own[0]) == F.col(other[0])) & (F.col(own[1]) == F.col(other[1]))
+    return docs.withColumns(_content(docs, own)).join(refused, same, "left_anti").select(*docs.columns)
 
 
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,10 +12,10 @@ an edit leaves three of them as they are. Hashes of the other three parts, for t
 length and the next smaller one, are counted over different lines; lines that share none can't have
 a neighbour and emit no variants.
 
-Lines end at newlines. Empty lines stay and are not compared. Lines of fewer than ``min_chars``
-characters are compared for equality only. Null texts are empty. A repeated row's lines count as
-later ones if its id is larger; rows of the same id and line number count as one place. Other
-columns are not read.
+Lines end at newlines. Empty lines stay and are not compared; all others are, of every length, unless
+``min_chars`` asks that shorter ones be compared for equality only. Null texts are empty. Of rows with
+one id (null first) and different texts, those with the smaller hash of the text are earlier; rows that are equal in id and text are
+one document given several times, and each keeps the same lines. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from siftwork.llm.substring_dedup import with_key
 from siftwork.plans.stage import Stage
 
 PARTS = 4
-MIN_CHARS = 20
+MIN_CHARS = 1
 #: Bits of the bitmap of part hashes that different lines share.
 BITS = 26
 #: Characters that are hashed at once.
@@ -111,7 +111,7 @@ def _blocks(batches):
                 first, size = i + 1, 0
 
 
-def shared_parts(docs: DataFrame, min_chars: int) -> np.ndarray:
+def shared_parts(docs: DataFrame, stage: Stage, min_chars: int) -> np.ndarray:
     """Bitmap of part hashes that at least two different lines have."""
 
     def parts(batches):
@@ -134,7 +134,7 @@ def shared_parts(docs: DataFrame, min_chars: int) -> np.ndarray:
         .filter("a <> b")
         .select(cell.alias("cell"))
     )
-    return cell_bitmap(shared, BITS)
+    return cell_bitmap(shared, BITS, stage)
 
 
 LINES = pa.schema(
@@ -152,9 +152,9 @@ LINES = pa.schema(
 )
 
 
-def hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
+def hashed_lines(docs: DataFrame, stage: Stage, min_chars: int) -> DataFrame:
     """Every line that is not empty, with text and variants where it may have a neighbour."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(shared_parts(docs, min_chars))
+    bitmap = docs.sparkSession.sparkContext.broadcast(shared_parts(docs, stage, min_chars))
 
     def rows(batches):
         seen: set[int] = set()
@@ -196,8 +196,8 @@ def _string_hash(lines: Lines, line: int) -> np.ndarray:
 
 
 def near_lines(lines: DataFrame, firsts: DataFrame, stage: Stage) -> DataFrame:
-    """(key, second) of lines with an earlier one within one edit."""
-    place = F.struct("first.doc_id", "first.number", "key", "second")
+    """(key, second) of lines with an earlier one within one edit, as a table."""
+    place = F.struct("first.doc_id", "first.text_key", "first.number", "key", "second")
     texts = (
         lines.filter("line is not null")
         .groupBy("key", "second")
@@ -250,28 +250,32 @@ def near_lines(lines: DataFrame, firsts: DataFrame, stage: Stage) -> DataFrame:
 
         return batches_of(rows(), verified)
 
-    return (
+    pairs = stage.table(pairs, "pairs", "zstd")
+    stage.drop_table(keyed)
+    near = (
         pairs.join(texts, ["key", "second"])
         .join(of_other, ["other", "other_second"])
         .select("key", "second", "line", "other_line")
         .mapInArrow(verify, "key bigint, second bigint")
         .distinct()
     )
+    near = stage.table(near, "near", "zstd")
+    stage.drop_table(pairs, texts)
+    return near
 
 
 def removed_lines(docs: DataFrame, stage: Stage, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, text_key, number) of the lines that go; ``docs`` as of ``with_key``."""
-    lines = stage.table(hashed_lines(docs, min_chars), "lines", "zstd")
-    firsts = lines.groupBy("key", "second").agg(F.min(F.struct("doc_id", "number")).alias("first"))
+    lines = stage.table(hashed_lines(docs, stage, min_chars), "lines", "zstd")
+    firsts = lines.groupBy("key", "second").agg(F.min(F.struct("doc_id", "text_key", "number")).alias("first"))
     firsts = stage.table(firsts, "firsts", "zstd")
-    near = near_lines(lines, firsts, stage).withColumn("near", F.lit(True))
-    judged = firsts.join(near, ["key", "second"], "left")
-    return (
-        lines.select("doc_id", "text_key", "number", "key", "second")
-        .join(judged, ["key", "second"])
-        .filter("near or first.doc_id <> doc_id or first.number <> number")
-        .select("doc_id", "text_key", "number")
-    )
+    near = near_lines(lines, firsts, stage)
+    judged = firsts.join(near.withColumn("near", F.lit(True)), ["key", "second"], "left")
+    same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_key") == F.col("text_key"))
+    gone = lines.join(judged, ["key", "second"]).filter(F.col("near") | ~same | (F.col("first.number") != F.col("number")))
+    gone = stage.table(gone.select("doc_id", "text_key", "number"), "gone", "zstd")
+    stage.drop_table(lines, firsts, near)
+    return gone
 
 
 def remove_lines(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm.common import batches_of, id_and_text, mixed, read, records, word_hashes
+from siftwork.llm.common import batches_of, id_and_text, mixed, read, records, repeats_ids, word_hashes
 from siftwork.plans.stage import Stage
 
 BACKOFF, UNSEEN = 0.4, 0.5
@@ -304,6 +304,12 @@ def score_documents(
 ) -> DataFrame:
     """One row per document: doc_id, n_pairs, log10_score (the sum), log10_per_pair."""
     plain = id_and_text(docs, id_col, text_col)
+    names = None
+    if repeats_ids(plain):
+        # Rows are numbered in a written table, so that rows of one id are scored one by one.
+        rows = stage.table(plain.withColumn("row", F.monotonically_increasing_id()), "rows", "zstd")
+        names = rows.select(F.col("row").alias("of_row"), F.col("doc_id").alias("of_id"))
+        plain = rows.select(F.col("row").alias("doc_id"), "text")
     counted = count_words(plain, stage)
     all_words = counted.filter("kind = 0").select("key", "n")
     n_words = all_words.filter(F.col("key") != int(START)).agg(F.sum("n")).first()[0] or 1
@@ -330,6 +336,8 @@ def score_documents(
         .groupBy("doc_id")
         .agg(F.sum("score").alias("log10_score"), F.sum("n_pairs").alias("n_pairs"))
     )
+    if names is not None:
+        summed = summed.join(names, F.col("doc_id") == F.col("of_row")).withColumn("doc_id", F.col("of_id"))
     per_pair = F.col("log10_score") / F.col("n_pairs")
     return summed.select("doc_id", "n_pairs", "log10_score", per_pair.alias("log10_per_pair"))
 

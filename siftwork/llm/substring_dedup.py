@@ -58,7 +58,7 @@ def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return id_and_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
 
 
-def sketch(docs: DataFrame, width: int, gram: int) -> np.ndarray:
+def sketch(docs: DataFrame, stage: Stage, width: int, gram: int) -> np.ndarray:
     def cells(batches):
         for batch in batches:
             found = [np.zeros(0, dtype=np.uint64)]
@@ -70,12 +70,12 @@ def sketch(docs: DataFrame, width: int, gram: int) -> np.ndarray:
             cell = np.concatenate(found).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"cell": pa.array(cell)})
 
-    return repeated_cells(docs.mapInArrow(cells, "cell bigint"), BITS + ROWS - 1)
+    return repeated_cells(docs.mapInArrow(cells, "cell bigint"), BITS + ROWS - 1, stage)
 
 
-def flagged_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
+def flagged_runs(docs: DataFrame, stage: Stage, width: int, gram: int) -> DataFrame:
     """Runs whose windows are estimated to occur more than once, with their window hashes."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(sketch(docs, width, gram))
+    bitmap = docs.sparkSession.sparkContext.broadcast(sketch(docs, stage, width, gram))
 
     def keep(batches):
         def rows():
@@ -114,7 +114,7 @@ def repeated_spans(
 
     ``docs`` has the columns of ``with_key``.
     """
-    runs = stage.table(flagged_runs(docs, width, gram), "runs", "zstd")
+    runs = stage.table(flagged_runs(docs, stage, width, gram), "runs", "zstd")
     firsts = runs.groupBy("anchor", "content").agg(F.min("doc_id").alias("first_id"))
     judged = runs.join(firsts, ["anchor", "content"])
     later = judged.filter("doc_id > first_id").select(

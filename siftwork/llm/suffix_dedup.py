@@ -70,7 +70,7 @@ def _runs(text: bytes, width: int, gram: int):
     return window_runs(BYTE_VALUES[np.frombuffer(text, dtype=np.uint8)], width, gram)
 
 
-def repeated_anchors(docs: DataFrame, width: int, gram: int) -> np.ndarray:
+def repeated_anchors(docs: DataFrame, stage: Stage, width: int, gram: int) -> np.ndarray:
     def cells(batches):
         for batch in batches:
             found = [np.zeros(0, dtype=np.uint64)]
@@ -82,11 +82,11 @@ def repeated_anchors(docs: DataFrame, width: int, gram: int) -> np.ndarray:
             cell = np.concatenate(found).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"cell": pa.array(cell)})
 
-    return repeated_cells(docs.mapInArrow(cells, "cell bigint"), BITS)
+    return repeated_cells(docs.mapInArrow(cells, "cell bigint"), BITS, stage)
 
 
-def flagged_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    bitmap = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, width, gram))
+def flagged_runs(docs: DataFrame, stage: Stage, width: int, gram: int) -> DataFrame:
+    bitmap = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, stage, width, gram))
 
     def keep(batches):
         def rows():
@@ -197,7 +197,7 @@ def repeated_spans(
 
     ``docs`` has the columns of ``with_key``.
     """
-    runs = flagged_runs(docs, width, gram).withColumn("run", F.monotonically_increasing_id())
+    runs = flagged_runs(docs, stage, width, gram).withColumn("run", F.monotonically_increasing_id())
     runs = stage.table(runs, "runs", "zstd")
     contents = stage.table(
         runs.groupBy("anchor", "content").agg(
@@ -227,7 +227,7 @@ def repeated_spans(
     # Only the heads' bytes are moved: a bitmap of fixed size drops most other runs before.
     cell = F.shiftrightunsigned(F.xxhash64("run"), 64 - BITS)
     bitmap = docs.sparkSession.sparkContext.broadcast(
-        cell_bitmap(heads.select(cell.alias("cell")), BITS)
+        cell_bitmap(heads.select(cell.alias("cell")), BITS, stage)
     )
 
     def is_head(batches):

@@ -11,7 +11,8 @@ the buckets that tell most, and the features in these are then counted exactly;
 (``TRAIN_ROWS``); every document is scored whole.
 
 Null and empty texts have no features and get the probabilities of a text without any. Labels of
-null count as not judged. Repeated rows are scored each. Without labels, or with a category that is
+null count as not judged, those above zero as one; of several judgements of one document the highest
+holds, category by category. Repeated rows are scored each. Without labels, or with a category that is
 all the same, a link predicts the share of its label. Other columns are not read.
 """
 
@@ -166,11 +167,17 @@ def best_threshold(log_odds: np.ndarray, labels: np.ndarray) -> float:
 
 def training_rows(docs: DataFrame, labels: DataFrame, names: tuple[str, ...], rows: int) -> DataFrame:
     """doc_id, text and labels of a sample of about ``rows`` labelled documents."""
-    known = labels.select(F.col("doc_id").alias("labelled_id"), *names).dropna()
+    # Of several judgements of one document the highest holds, category by category.
+    known = (
+        labels.select(F.col("doc_id").alias("labelled_id"), *names)
+        .dropna()
+        .groupBy("labelled_id")
+        .agg(*[F.max((F.col(name) > 0).cast("int")).alias(name) for name in names])
+    )
     share = min(1.0, rows / max(known.count(), 1))
     chosen = known.filter(
         F.pmod(F.xxhash64("labelled_id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    ).dropDuplicates(["labelled_id"])
+    )
     # The sample's size is bounded by ``rows``, so its ids can be sent to all.
     return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("labelled_id")).select(
         "doc_id", "text", *[F.col(name).cast("int").alias(name) for name in names]

@@ -176,12 +176,13 @@ def test_factor_lengths():
 
 
 @pytest.mark.parametrize("block_bytes", [200, 1 << 20])
-def test_decontamination(spark, docs, block_bytes):
+def test_decontamination(spark, docs, stage, block_bytes):
     texts = dict(hard_texts())
-    items = [(1, "One"), (2, None), (3, "..."), (7, " ".join(texts[4].split()[5:40])), (10, "def ghi"), (11, "def-ghi")]
+    items = [(None, "two"), (1, "One"), (2, None), (3, "..."), (7, " ".join(texts[4].split()[5:40])), (10, "def ghi"), (11, "def-ghi")]
     table = spark.createDataFrame(items, "item_id long, text string")
-    hits = decontaminate.find_hits(docs, table, block_bytes=block_bytes)
-    got, spans = by_id(decontaminate.judged(hits)), {row.doc_id: row.spans for row in hits.collect()}
+    hits = decontaminate.find_hits(docs, table, stage, block_bytes=block_bytes)
+    located = decontaminate.find_spans(docs.drop("spans"), table, stage, block_bytes=block_bytes)
+    got, spans = by_id(decontaminate.judged(hits)), {row.doc_id: row.spans for row in located.collect()}
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     for i, t in texts.items():
         w, hit, found = cut(t), set(), set()
@@ -194,20 +195,20 @@ def test_decontamination(spark, docs, block_bytes):
                         found.add(str(item))
         bad = bool(hit) and 20 * len(hit) >= len(w)
         assert got[i] == (len(w), len(hit), len(found), sha(",".join(sorted(found))), bad)
-        if block_bytes > 1000:
-            assert [x for s in spans[i] for x in cut(t[s.start : s.end])] == [w[k] for k in sorted(hit)]
+        assert [x for s in spans[i] for x in cut(t[s.start : s.end])] == [w[k] for k in sorted(hit)]
 
 
 def test_lines(spark, stage):
     rng = random.Random(9)
     rows = [(0, None), (1, ""), (2, "short\nshort\n\n\nshort")]
-    line = lambda: "".join(rng.choices("abcdé ", k=rng.randint(20, 40)))
+    line = lambda: "".join(rng.choices("abcdé ", k=rng.choice((2, 7, 19, 30, 40))))
     for i in range(40):
         a = line()
         k = rng.randrange(len(a))
         near = rng.choice([a[:k] + a[k + 1 :], a[:k] + "Q" + a[k:], a[:k] + "Q" + a[k + 1 :], a[:k] + "QQ" + a[k:]])
         rows.append((10 + i, "\n".join([a, line(), near, "tail"])))
         rows.append((100 + i, near + "\n" + near[:3] + "Z" + near[4:]))
+        rows.append((200 + i, "Zz"[i % 2] + str(i % 7)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = by_id(line_dedup.remove_lines(df, stage))
     earlier: list[str] = []
@@ -215,7 +216,7 @@ def test_lines(spark, stage):
         lines = (t or "").split("\n")
         kept = []
         for x in lines:
-            near = len(x) >= 20 and any(len(y) >= 20 and line_dedup.within_one_edit(x, y) for y in earlier)
+            near = any(line_dedup.within_one_edit(x, y) for y in earlier)
             if not x or not (near or x in earlier):
                 kept.append(x)
             if x:
@@ -282,7 +283,7 @@ def test_empty_tables(spark, docs, empty, no_items, stage):
     assert jaccard_join.near_duplicates(empty, stage).count() == 0
     assert substring_dedup.remove_repeats(empty, stage).count() == 0
     assert suffix_dedup.remove_repeats(empty, stage).count() == 0
-    assert decontaminate.find_hits(docs, no_items).filter("size(hit_words) > 0").count() == 0
+    assert decontaminate.find_hits(docs, no_items, stage).filter("size(hit_words) > 0").count() == 0
     assert line_dedup.remove_lines(empty, stage).count() == 0
     assert exact_dedup.find_copies(empty, stage).count() == 0
     assert lm_score.score_documents(empty, stage).count() == 0
@@ -323,7 +324,7 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, stage):
             if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
-    hits = decontaminate.find_hits(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    hits = decontaminate.find_hits(docs, spark.read.parquet(f"{folder}/benchmark.parquet"), stage)
     bad = {row.doc_id for row in decontaminate.judged(hits).filter("contaminated").collect()}
     got = {row.doc_id for row in corpus_pipeline.run(spark, folder).collect()}
     assert got == {i for i in left if root(i) == i} - bad
