@@ -30,7 +30,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passages of the benchmark to speak of."""
-    return decontaminate.keep_clean(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.keep_clean(docs, read(spark, sf_dir, "benchmark"), Stage(spark))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
