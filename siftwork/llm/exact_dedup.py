@@ -36,7 +36,7 @@ from siftwork.llm.common import read
 from siftwork.plans.stage import Stage
 
 #: Different hashes that a bucket takes before it is split, at least.
-CAPACITY = 2_000
+CAPACITY = 500
 #: The directory has some 2**MAX_BUCKETS_LOG buckets at most; larger corpora have larger buckets.
 MAX_BUCKETS_LOG = 15
 #: A hash of more than one in so many rows is hot, if these are HOT_ROWS at least.
@@ -129,14 +129,13 @@ def chained(
     Columns: those of ``carry``, and the ``__siftwork_`` ones for hash, bucket, plain text, id, place
     (1 stays), size of the group, and the id that stays.
     """
-    rows = docs.select(
-        *[docs[name] for name in carry],
-        docs[id_col].cast("bigint").alias(ID),
-        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias(_H + "text"),
-    )
+    # A text that is carried along anyway is not sent twice.
+    text = text_col if text_col in carry else _H + "text"
+    own_text = [] if text_col in carry else [docs[text_col].cast("string").alias(text)]
+    rows = docs.select(*[docs[name] for name in carry], docs[id_col].cast("bigint").alias(ID), *own_text)
     # Rows of one id and text may differ in other columns; these decide then.
     tie = F.xxhash64(*[rows[name] for name in carry]) if carry else F.lit(0).cast("bigint")
-    rows = rows.withColumns({HASH: F.xxhash64(normalised(F.col(_H + "text"))), TIE: tie})
+    rows = rows.withColumns({HASH: F.xxhash64(normalised(F.col(text))), TIE: tie})
     counted = rows.groupBy(HASH).agg(F.count(F.lit(1)).alias("copies"))
     counted = stage.table(counted, "hashes", "zstd")
     n_hashes, n_rows = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
@@ -146,7 +145,7 @@ def chained(
     # At most HOT_SHARE rows.
     parts = [(row[HASH], -(-row.copies // limit)) for row in hot.collect()]
     stage.drop_table(counted)
-    own = _placed(rows, directory, parts)
+    own = _placed(rows, text, directory, parts)
     if not parts:
         return own
     firsts = own.filter((F.col(NTH) == 1) & F.col(HASH).isin([h for h, _ in parts]))
@@ -173,24 +172,22 @@ def chained(
     )
 
 
-def _placed(rows: DataFrame, directory: Directory, parts: list[tuple[int, int]]) -> DataFrame:
+def _placed(rows: DataFrame, text: str, directory: Directory, parts: list[tuple[int, int]]) -> DataFrame:
     """Rows in the tasks that own their buckets, chained by hash and compared by bytes."""
-    routed = directory.route(rows)
+    routed, owner = directory.route(rows), [BUCKET]
     if parts:
         dealt = rows.sparkSession.createDataFrame(parts, f"{_H}of_hash bigint, {_H}parts bigint")
-        routed = routed.join(F.broadcast(dealt), F.col(HASH) == F.col(_H + "of_hash"), "left").withColumn(
-            PART,
-            F.coalesce(F.pmod(F.xxhash64(ID, _H + "text"), F.col(_H + "parts")), F.lit(0)).cast("int"),
-        )
-        routed = routed.drop(_H + "of_hash", _H + "parts")
-    else:
-        routed = routed.withColumn(PART, F.lit(0))
-    owned = routed.repartition(BUCKET, PART).select(
+        part = F.pmod(F.xxhash64(ID, text), F.col(_H + "parts"))
+        routed = routed.join(F.broadcast(dealt), F.col(HASH) == F.col(_H + "of_hash"), "left")
+        routed = routed.withColumn(PART, F.coalesce(part, F.lit(0)).cast("int")).drop(_H + "of_hash", _H + "parts")
+        owner.append(PART)
+    owned = routed.repartition(*owner).select(
         *[name for name in routed.columns if name != _H + "text"],
-        normalised(F.col(_H + "text")).alias(PLAIN),
-        F.length(_H + "text").cast("bigint").alias(POINTS),
+        normalised(F.col(text)).alias(PLAIN),
+        F.length(F.coalesce(F.col(text).cast("string"), F.lit(""))).cast("bigint").alias(POINTS),
     )
-    group = Window.partitionBy(BUCKET, PART, HASH, PLAIN)
+    # Rows are where the windows need them: the exchange by owner is the only one.
+    group = Window.partitionBy(*owner, HASH, PLAIN)
     order = group.orderBy(*_before())
     return owned.select(
         "*",

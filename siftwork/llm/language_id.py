@@ -37,11 +37,11 @@ from siftwork.plans.stage import Stage
 TRAIN_ROWS = 8_000
 BUCKETS = 1 << 15
 #: Trigrams of all languages that a language's own counts are smoothed with.
-SMOOTHING = 2_000.0
+SMOOTHING = 1000.0
 #: Tables that a task adds up before it hands them on.
 TABLES_AT_ONCE = 64
 #: Prior of a language that is none of those known, and the trigrams over which chance spreads its texts.
-UNKNOWN, CHANCE_TRIGRAMS = 0.001, BUCKETS / 4
+UNKNOWN, CHANCE_TRIGRAMS = 0.001, BUCKETS / 3
 #: Weight of the text: as of so many independent trigrams, at most.
 TEXT_WEIGHT = 40.0
 #: Pseudo-counts: of a domain's prior in a host's, of all in a domain's, and of a declaration.
