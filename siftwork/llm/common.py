@@ -43,6 +43,13 @@ def as_binary(column: pa.Array) -> pa.Array:
     return column.cast(pa.binary())
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what is made of one takes little memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def records(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
     """(doc_id, UTF-8 bytes of the text) of batches with the columns of ``id_and_text``."""
     for batch in batches:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siftwork.llm.common import as_binary, id_and_text, read, runs_of
+from siftwork.llm.common import as_binary, id_and_text, read, runs_of, small
 from siftwork.plans.stage import Stage
 
 WINDOW = 13
@@ -164,7 +164,7 @@ def scan_rows(
 def _scanner(items, key: str, width: int, place: int):
     def scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(key, items.value, width)
-        for batch in batches:
+        for batch in small(batches):
             texts = as_binary(batch.column(place))
             n_words, hits, names = [], [], []
             before = zip(batch.column(HIT).to_pylist(), batch.column(ITEMS).to_pylist())
@@ -201,7 +201,7 @@ def find_spans(docs: DataFrame, items: DataFrame, stage: Stage, text_col: str =
     place = docs.columns.index(text_col)
 
     def spans(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts, hits = batch.column(place).to_pylist(), batch.column(HIT).to_pylist()
             found = [[{"start": a, "end": b} for a, b in _spans(t, h)] if h else [] for t, h in zip(texts, hits)]
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))

@@ -45,6 +45,7 @@ from siftwork.llm.common import (
     records,
     repeated_cells,
     repeats_ids,
+    small,
     word_hashes,
 )
 from siftwork.llm.components import components
@@ -104,7 +105,7 @@ def document_counts(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
-        for batch in batches:
+        for batch in small(batches):
             found = [shingle_set(text, width) for _, text in records([batch])]
             if found:
                 cells = (np.concatenate(found) & np.uint64(len(total) - 1)).astype(np.int64)
@@ -126,7 +127,7 @@ def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> D
     counts = context.broadcast(document_counts(docs, width))
 
     def cells(batches):
-        for batch in batches:
+        for batch in small(batches):
             found = [np.zeros(0, dtype=np.uint64)]
             for _, text in records([batch]):
                 shingles = shingle_set(text, width)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm.common import batches_of, read
+from siftwork.llm.common import batches_of, read, small
 from siftwork.plans.stage import Stage
 
 #: Labelled rows on which the trigram tables are fitted, about.
@@ -119,7 +119,7 @@ def fit_trigrams(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str]
         def handed_on():
             return batches_of(((k, v.astype(np.int32).tobytes()) for k, v in sums.items()), schema)
 
-        for batch in batches:
+        for batch in small(batches):
             for label, text in zip(*(c.to_pylist() for c in batch.columns)):
                 sums[label] = sums.get(label, 0) + np.bincount(trigrams(text.encode()), minlength=BUCKETS)
                 if len(sums) > TABLES_AT_ONCE:
@@ -153,7 +153,7 @@ def score_texts(docs: DataFrame, languages: list[str], table: np.ndarray) -> Dat
     others = [c for c in docs.columns if c not in ("text", "is_markup")]
 
     def score(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts, markup = batch.column("text").to_pylist(), batch.column("is_markup").to_pylist()
             sizes, evidence, votes = [], [], []
             for text, marked in zip(texts, markup):
