@@ -2,6 +2,11 @@
 
 Each stage gets the documents that the one before has kept, as a table written in between, and
 returns the documents it keeps with the columns of ``documents``; the last one returns their tokens.
+
+Null, empty and blank texts have no letters, so the first stage refuses them. Of equal rows, texts and near copies
+one row stays: for equal texts the longest and then the one with the smallest id, for near copies the smallest
+id. Rows that share an id, or have none, are judged one by one. Further columns pass through, whatever
+their names, but for those that start with ``__siftwork_``. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -13,8 +18,18 @@ from siftwork.llm.common import read
 from siftwork.plans.stage import Stage
 
 
+#: Rows that go to a Python worker and back at once. Texts are long, and the buffers of both sides, which
+#: executors keep for reuse over all stages, grow with the largest batch.
+ROWS_AT_ONCE = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified."""
+    small_batches(spark)
     return language_id.keep_identified(docs, Stage(spark))
 
 
@@ -25,16 +40,19 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies: five words, similarity of 0.8 or more."""
+    small_batches(spark)
     return jaccard_join.keep_one_of_each(docs, Stage(spark), width=5, similarity=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passages of the benchmark to speak of."""
+    small_batches(spark)
     return decontaminate.keep_clean(docs, read(spark, sf_dir, "benchmark"), Stage(spark))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the tokens and of the text decoded from them."""
+    small_batches(spark)
     return bpe.round_trip(docs, bpe.vocabulary_path())
 
 
