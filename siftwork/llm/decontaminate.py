@@ -5,7 +5,8 @@ letters A-Z, digits and everything beyond ASCII. The automaton holds the windows
 and each document is scanned once in its normalised form. Hits are mapped back to words and to
 characters of the original text.
 
-Items go through the driver, as an automaton must be one whole; each Python worker builds it once.
+Items go through the driver, as an automaton must be one whole; each task builds it, in less than a second for a
+block, and frees it, since workers live on through later stages.
 Their size is measured first: above ``block_bytes`` the items are dealt into blocks, and the rows go
 from one block's automaton to the next, with the hits so far, over a written table. So memory is
 bounded, no item is left out, and a row stays one row, whatever its id.
@@ -17,7 +18,6 @@ are; names that start with ``__siftwork_`` are taken. An empty benchmark leaves
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -114,17 +114,6 @@ def _blocks(items: DataFrame, block_bytes: int) -> list[DataFrame]:
     return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) for b in range(n)]
 
 
-_built: dict[str, object] = {}
-
-
-def _automaton(key: str, items: list[tuple[str | None, bytes]], width: int):
-    """The automaton of a block of items, built once in each Python worker."""
-    if key not in _built:
-        _built.clear()
-        _built[key] = automaton_of(items, width)
-    return _built[key]
-
-
 def scan_rows(
     docs: DataFrame,
     items: DataFrame,
@@ -154,16 +143,15 @@ def scan_rows(
     for number, block in enumerate(blocks):
         # The items of one block at a time; ``block_bytes`` bounds them.
         held = sorted(((row.item_id, bytes(row.text)) for row in block.collect()), key=repr)
-        key = hashlib.sha256(repr((width, held)).encode()).hexdigest()
-        rows = rows.mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(held), key, width, place), rows.schema)
+        rows = rows.mapInArrow(_scanner(docs.sparkSession.sparkContext.broadcast(held), width, place), rows.schema)
         if number + 1 < len(blocks):
             rows = stage.table(rows, "scanned", "zstd")
     return rows
 
 
-def _scanner(items, key: str, width: int, place: int):
+def _scanner(items, width: int, place: int):
     def scan_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(key, items.value, width)
+        automaton = automaton_of(items.value, width)
         for batch in small(batches):
             texts = as_binary(batch.column(place))
             n_words, hits, names = [], [], []
