@@ -56,6 +56,8 @@ SHINGLE_WORDS = 4
 SIMILARITY = 85
 #: Cells of the sketch of document counts, by which shingles are ordered.
 SKETCH_BITS = 21
+#: Slices in which the tasks' sketches are added up.
+SLICES = 64
 #: Cells of the bitmap that tells which short lists have a second document.
 CELL_BITS = 26
 
@@ -101,24 +103,46 @@ def bitmap_cells(shingles: np.ndarray) -> np.ndarray:
 
 
 def document_counts(docs: DataFrame, width: int) -> np.ndarray:
-    """Sketch of how many documents hold a shingle: 2**SKETCH_BITS sums, merged as a tree."""
+    """Sketch of how many documents hold a shingle: 2**SKETCH_BITS counts, summed slice by slice.
+
+    Tasks count their own documents; a slice of the sketch meets those of the other tasks in one of
+    SLICES tasks, which adds them up as they come. The driver gets one finished sketch.
+    """
+    cells_a_slice = (1 << SKETCH_BITS) // SLICES
+    schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
+
+    def sliced(total: np.ndarray, numbers) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(numbers, pa.int32()), pa.array([row.tobytes() for row in total], pa.binary())],
+            schema=schema,
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int32)
+        total = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in small(batches):
-            found = [shingle_set(text, width) for _, text in records([batch])]
-            if found:
-                cells = (np.concatenate(found) & np.uint64(len(total) - 1)).astype(np.int64)
-                total += np.bincount(cells, minlength=len(total)).astype(np.int32)
+            for _, text in records([batch]):
+                # A text's shingles are distinct, but two of them can share a cell.
+                cells = (shingle_set(text, width) & np.uint64(len(total) - 1)).astype(np.int64)
+                np.add.at(total, cells, 1)
         if total.any():
-            packed = np.minimum(total, 0xFFFF).astype(np.uint16).tobytes()
-            yield pa.RecordBatch.from_pydict({"counts": pa.array([packed], pa.binary())})
-
-    parts = docs.mapInArrow(count, "counts binary").rdd.map(
-        lambda row: np.frombuffer(row.counts, dtype=np.uint16).astype(np.uint32)
-    )
-    zero = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-    return parts.treeAggregate(zero, lambda a, b: a + b, lambda a, b: a + b)
+            yield sliced(total.reshape(SLICES, -1), range(SLICES))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                total = sums.setdefault(number, np.zeros(cells_a_slice, dtype=np.uint64))
+                total += np.frombuffer(counts.as_buffer(), dtype=np.uint32)
+        if sums:
+            held = np.minimum(np.stack(list(sums.values())), 0xFFFFFFFF).astype(np.uint32)
+            yield sliced(held, list(sums))
+
+    ddl = "slice int, counts binary"
+    summed = docs.mapInArrow(count, ddl).repartition(SLICES, "slice").mapInArrow(add, ddl)
+    out = np.zeros((SLICES, cells_a_slice), dtype=np.uint32)
+    for row in summed.toLocalIterator():
+        out[row.slice] = np.frombuffer(row.counts, dtype=np.uint32)
+    return out.reshape(-1)
 
 
 def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> DataFrame:
