@@ -18,13 +18,14 @@ from siftwork.llm.common import read
 from siftwork.plans.stage import Stage
 
 
-#: Rows that go to a Python worker and back at once. Texts are long, and the buffers of both sides, which
-#: executors keep for reuse over all stages, grow with the largest batch.
-ROWS_AT_ONCE = 1000
+#: Rows and bytes that go to a Python worker at once. The buffers of both sides, which executors keep for
+#: reuse over all stages, grow with the largest batch, and a thousand long texts can be far larger than usual ones.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1000, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
