@@ -223,3 +223,43 @@ def keep_clean(docs: DataFrame, items: DataFrame, stage: Stage, share: int = SHA
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = read(spark, folder, "documents"), read(spark, folder, "benchmark")
     return judged(find_hits(docs, items, Stage(spark)))
+
+
+ORACLE = {
+    "op6_decontamination": r"""
+WITH item_words AS (
+    SELECT row_number() OVER () AS item_row, item_id,
+           list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+    FROM benchmark
+), item_windows AS (
+    SELECT item_id, n, array_to_string(words[place:place + n - 1], ' ') AS window_text
+    FROM (SELECT *, least(len(words), 13) AS n, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS place
+          FROM item_words WHERE len(words) > 0)
+), widths AS (
+    SELECT DISTINCT n FROM item_windows
+), texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+           list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+    FROM documents
+), windows AS (
+    SELECT row_id, n, place, array_to_string(words[place:place + n - 1], ' ') AS window_text
+    FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS place FROM texts, widths WHERE len(words) >= n)
+), found AS (
+    SELECT row_id, item_id, place, n FROM windows JOIN item_windows USING (n, window_text)
+), hits AS (
+    SELECT row_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT row_id, unnest(range(place, place + n)) AS word FROM found)
+    GROUP BY row_id
+), named AS (
+    SELECT row_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT row_id, CAST(item_id AS VARCHAR) AS item_id FROM found)
+    GROUP BY row_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM texts LEFT JOIN hits USING (row_id) LEFT JOIN named USING (row_id)
+"""
+}

@@ -388,3 +388,35 @@ def keep_one_of_each(docs: DataFrame, stage: Stage, id_col: str = "doc_id", **op
 
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read(spark, folder, "documents"), Stage(spark))
+
+
+ORACLE = {
+    "op3_jaccard_join": r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id,
+           list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(words[place:place + 3], ' ') AS shingle
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS place FROM texts WHERE len(words) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b USING (shingle)
+         JOIN sizes n ON n.doc_id = a.doc_id JOIN sizes m ON m.doc_id = b.doc_id
+    WHERE a.doc_id <> b.doc_id AND 100 * least(n.n, m.n) >= 85 * greatest(n.n, m.n)
+    GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 85 * (any_value(n.n) + any_value(m.n) - count(*))
+), reached AS (
+    SELECT doc_id AS node, doc_id AS goal FROM sizes
+    UNION
+    SELECT node, b FROM reached JOIN links ON goal = a
+), least_of AS (
+    SELECT node, min(goal) AS component_id FROM reached GROUP BY node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON node = doc_id
+"""
+}

@@ -38,4 +38,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(exact_dedup.ORACLE)
+    return jaccard_join.ORACLE | substring_dedup.ORACLE | decontaminate.ORACLE | exact_dedup.ORACLE

@@ -197,3 +197,34 @@ def remove_repeats(
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = remove_repeats(read(spark, folder, "documents"), Stage(spark))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = {
+    "op4_substring_dedup": r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), windows AS (
+    SELECT row_id, doc_id, place, array_to_string(words[place:place + 49], ' ') AS window_text
+    FROM (SELECT *, unnest(range(1, len(words) - 48)) AS place FROM texts)
+), repeats AS (
+    SELECT row_id, place
+    FROM (SELECT *, min(doc_id) OVER (PARTITION BY window_text) AS first_id FROM windows)
+    WHERE doc_id > first_id
+), removed AS (
+    SELECT row_id, list(DISTINCT word) AS gone
+    FROM (SELECT row_id, unnest(range(place, place + 50)) AS word FROM repeats)
+    GROUP BY row_id
+), kept AS (
+    SELECT doc_id, words, coalesce(len(gone), 0) AS n_removed,
+           CASE WHEN gone IS NULL THEN words
+                ELSE list_transform(list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(gone, i)), lambda i: words[i])
+           END AS kept_words
+    FROM texts LEFT JOIN removed USING (row_id)
+)
+SELECT doc_id, len(words) AS n_words, n_removed,
+       sha256(array_to_string(kept_words, ' ')) AS kept_sha256
+FROM kept
+"""
+}

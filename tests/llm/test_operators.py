@@ -20,6 +20,7 @@ from siftwork.llm import (
     language_id,
     line_dedup,
     lm_score,
+    queries,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -289,13 +290,16 @@ def test_empty_tables(spark, docs, empty, no_items, stage):
     assert lm_score.score_documents(empty, stage).count() == 0
 
 
-def test_exact_dedup_agrees_with_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_agrees_with_its_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
-    expected = con.execute(exact_dedup.ORACLE["op9_exact_dedup"]).fetchall()
-    got = exact_dedup.op9_exact_dedup(spark, folder).collect()
-    assert sorted(map(tuple, got)) == sorted(expected)
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    result = con.execute(queries.oracle_sql()[name])
+    got = queries.queries()[name](spark, folder)
+    got = got.select(*(column[0] for column in result.description))
+    assert sorted(map(tuple, got.collect())) == sorted(result.fetchall())
 
 
 def test_pipeline_keeps_what_brute_force_keeps(spark, stage):
