@@ -266,3 +266,58 @@ def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
     docs, target = read(spark, folder, "documents"), read(spark, folder, "benchmark")
     chosen = resample(docs, target, Stage(spark))
     return chosen.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLE = {
+    "op12_importance": r"""
+WITH RECURSIVE shifted AS (
+    SELECT range AS byte, range AS value, 0 AS step FROM range(256)
+    UNION ALL
+    SELECT byte, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END, step + 1
+    FROM shifted WHERE step < 8
+), crc_table AS (
+    SELECT byte, value FROM shifted WHERE step = 8
+), texts AS (
+    SELECT 0 AS target, row_number() OVER () AS row_id, doc_id, text FROM documents
+    UNION ALL
+    SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+), words AS (
+    SELECT target, row_id, doc_id, list_filter(
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+    FROM texts
+), features AS (
+    SELECT target, row_id, unnest(words) AS word FROM words
+), folded AS (
+    SELECT word, hex(encode(word)) AS code, 0 AS done, 4294967295::BIGINT AS crc FROM (SELECT DISTINCT word FROM features)
+    UNION ALL
+    SELECT word, code, done + 1, xor(crc >> 8, value)
+    FROM folded JOIN crc_table ON byte = xor(crc, ('0x' || substr(code, 2 * done + 1, 2))::BIGINT) & 255
+    WHERE 2 * done < length(code)
+), buckets AS (
+    SELECT word, xor(crc, 4294967295) % 10000 AS bucket FROM folded WHERE 2 * done = length(code)
+), held AS (
+    SELECT target, row_id, bucket FROM features JOIN buckets USING (word)
+), counts AS (
+    SELECT bucket, count(*) FILTER (target = 0) AS s, count(*) FILTER (target = 1) AS t FROM held GROUP BY bucket
+), totals AS (
+    SELECT coalesce(sum(s), 0)::BIGINT AS all_s, coalesce(sum(t), 0)::BIGINT AS all_t FROM counts
+), gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + 10000))::DOUBLE / ((s + 1) * (all_t + 10000))::DOUBLE))::BIGINT AS gain
+    FROM counts, totals
+), weights AS (
+    SELECT row_id, sum(gain)::BIGINT AS weight FROM held JOIN gains USING (bucket) WHERE target = 0 GROUP BY row_id
+), scored AS (
+    SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                       / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (row_id)
+    WHERE target = 0
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+}

@@ -312,3 +312,39 @@ def remove_lines(
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = remove_lines(read(spark, folder, "documents"), Stage(spark))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = {
+    "op8_line_dedup": r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+    FROM documents
+), places AS (
+    SELECT row_id, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS number FROM texts
+), numbered AS (
+    SELECT *, row_number() OVER (ORDER BY doc_id, row_id, number) AS line_no FROM places
+), firsts AS (
+    SELECT line, min(line_no) AS first_at FROM numbered WHERE line <> '' GROUP BY line
+), variants AS (
+    SELECT line, first_at, place, substr(line, 1, place - 1) || substr(line, place + 1) AS variant
+    FROM (SELECT *, unnest(range(1, length(line) + 1)) AS place FROM firsts)
+), by_variant AS (
+    SELECT variant, min(first_at) AS earliest FROM variants GROUP BY variant
+), near AS (
+    SELECT firsts.line FROM firsts JOIN by_variant ON variant = firsts.line WHERE earliest < first_at
+    UNION
+    SELECT variants.line FROM variants JOIN firsts ON variant = firsts.line WHERE firsts.first_at < variants.first_at
+    UNION
+    SELECT line
+    FROM (SELECT line, first_at, min(first_at) OVER (PARTITION BY place, variant) AS earliest FROM variants)
+    WHERE earliest < first_at
+), judged AS (
+    SELECT numbered.*, first_at IS NOT NULL AND (first_at < line_no OR near.line IS NOT NULL) AS gone
+    FROM numbered LEFT JOIN firsts ON numbered.line = firsts.line LEFT JOIN near ON numbered.line = near.line
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged
+GROUP BY row_id
+"""
+}

@@ -38,4 +38,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return jaccard_join.ORACLE | substring_dedup.ORACLE | decontaminate.ORACLE | exact_dedup.ORACLE
+    stated = (jaccard_join, substring_dedup, suffix_dedup, decontaminate, line_dedup, exact_dedup, importance)
+    return {name: sql for module in stated for name, sql in module.ORACLE.items()}

@@ -328,3 +328,36 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+ORACLE = {
+    "op5_suffix_dedup": r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id, encode(coalesce(text, '')) AS bytes FROM documents
+), starts AS (
+    SELECT row_id, start
+    FROM (SELECT row_id, start, count(*) OVER (PARTITION BY string) AS n
+          FROM (SELECT row_id, start, bytes[start + 1:start + 200] AS string
+                FROM (SELECT *, unnest(range(octet_length(bytes) - 199)) AS start FROM texts)))
+    WHERE n > 1
+), edges AS (
+    SELECT *, lag(start) OVER (PARTITION BY row_id ORDER BY start) AS before FROM starts
+), runs AS (
+    SELECT row_id, min(start) AS first, max(start) + 200 AS past
+    FROM (SELECT *, sum(CASE WHEN before IS NULL OR start > before + 200 THEN 1 ELSE 0 END)
+                        OVER (PARTITION BY row_id ORDER BY start) AS run FROM edges)
+    GROUP BY row_id, run
+), gaps AS (
+    SELECT row_id, coalesce(lag(past) OVER (PARTITION BY row_id ORDER BY first), 0) AS a, first AS b, past - first AS size
+    FROM runs
+    UNION ALL
+    SELECT row_id, coalesce(max(past), 0), any_value(octet_length(bytes)), 0
+    FROM texts LEFT JOIN runs USING (row_id)
+    GROUP BY row_id
+)
+SELECT any_value(doc_id) AS doc_id, any_value(octet_length(bytes)) AS n_bytes, sum(size)::BIGINT AS n_removed,
+       count(*) - 1 AS n_spans, sha256(unhex(string_agg(hex(bytes[a + 1:b]), '' ORDER BY a, b))) AS kept_sha256
+FROM texts JOIN gaps USING (row_id)
+GROUP BY row_id
+"""
+}
