@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -50,6 +51,14 @@ def small(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
             yield batch.slice(at, rows)
 
 
+def give_back() -> None:
+    """Return freed memory that this worker's allocators keep: workers wait for further tasks, of any stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def records(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
     """(doc_id, UTF-8 bytes of the text) of batches with the columns of ``id_and_text``."""
     for batch in batches:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm.common import batches_of, read, small
+from siftwork.llm.common import batches_of, give_back, read, small
 from siftwork.plans.stage import Stage
 
 #: Labelled rows on which the trigram tables are fitted, about.
@@ -172,6 +172,7 @@ def score_texts(docs: DataFrame, languages: list[str], table: np.ndarray) -> Dat
             columns = [batch.column(c) for c in others]
             columns += [pa.array(sizes, pa.int64()), pa.array(evidence, pa.list_(pa.float64())), pa.array(votes, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [*others, "n_trigrams", "evidence", "vote"])
+        give_back()
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema)
     return docs.mapInArrow(score, f"{kept}, n_trigrams bigint, evidence array<double>, vote string")
