@@ -8,8 +8,9 @@ document counts; any order of the shingles gives right results, a good one short
 
 Only short lists are built: Spark groups (shingle, document) pairs and merges them by shingle.
 Candidates are probed by binary search in their sorted shingles, which is the same as probing
-every long list for the candidate. Whether a short list has a second document is first read from
-a count-min bitmap of fixed size, so lists of one are not built.
+every long list for the candidate. Only lists whose documents could meet are built: the sizes in
+each list are counted first, merged on the map side, and a document whose list holds no other one
+of about its size drops out, exactly and however large the corpus is.
 
 Links are wanted for components, so a list does not need all its pairs. Each list is first
 searched as a star: its members are compared with one of them. Members that are then in one
@@ -38,12 +39,12 @@ from pyspark.sql import functions as F
 from siftwork.llm.common import (
     RollingHashes,
     batches_of,
+    cell_bitmap,
     flagged,
+    give_back,
     id_and_text,
-    mixed,
     read,
     records,
-    repeated_cells,
     repeats_ids,
     small,
     word_hashes,
@@ -58,7 +59,7 @@ SIMILARITY = 85
 SKETCH_BITS = 21
 #: Slices in which the tasks' sketches are added up.
 SLICES = 64
-#: Cells of the bitmap that tells which short lists have a second document.
+#: Cells of the bitmap that tells which documents are in a pair.
 CELL_BITS = 26
 
 ROW, NODE = "__siftwork_row", "__siftwork_node"
@@ -72,7 +73,6 @@ LISTED = pa.schema(
         ("doc_id", pa.int64()),
         ("n_shingles", pa.int64()),
         ("shingles", pa.list_(pa.int64())),
-        ("places", pa.list_(pa.int32())),
     ]
 )
 
@@ -98,10 +98,6 @@ def short_lists(shingles: np.ndarray, counts: np.ndarray, similarity: int) -> np
     return shingles[order[: n - ceil_share(n, similarity, 100) + 1]]
 
 
-def bitmap_cells(shingles: np.ndarray) -> np.ndarray:
-    return mixed(shingles) >> np.uint64(64 - CELL_BITS)
-
-
 def document_counts(docs: DataFrame, width: int) -> np.ndarray:
     """Sketch of how many documents hold a shingle: 2**SKETCH_BITS counts, summed slice by slice.
 
@@ -126,6 +122,8 @@ def document_counts(docs: DataFrame, width: int) -> np.ndarray:
                 np.add.at(total, cells, 1)
         if total.any():
             yield sliced(total.reshape(SLICES, -1), range(SLICES))
+        del total
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -146,50 +144,67 @@ def document_counts(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def build_lists(docs: DataFrame, stage: Stage, width: int, similarity: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, the shingles of short lists that may be shared."""
-    context = docs.sparkSession.sparkContext
-    counts = context.broadcast(document_counts(docs, width))
-
-    def cells(batches):
-        for batch in small(batches):
-            found = [np.zeros(0, dtype=np.uint64)]
-            for _, text in records([batch]):
-                shingles = shingle_set(text, width)
-                if len(shingles):
-                    found.append(bitmap_cells(short_lists(shingles, counts.value, similarity)))
-            cell = np.concatenate(found).astype(np.int64)
-            yield pa.RecordBatch.from_pydict({"cell": pa.array(cell)})
-
-    bitmap = context.broadcast(
-        repeated_cells(docs.mapInArrow(cells, "cell bigint"), CELL_BITS, stage)
-    )
+    """One row per document: doc_id, n_shingles, the shingles of its short lists, rarest first."""
+    counts = docs.sparkSession.sparkContext.broadcast(document_counts(docs, width))
 
     def lists(batches):
         def rows():
             for doc_id, text in records(batches):
                 shingles = shingle_set(text, width)
-                n = len(shingles)
-                if not n:
-                    yield doc_id, 0, [], []
-                    continue
-                short = short_lists(shingles, counts.value, similarity)
-                places = np.flatnonzero(flagged(bitmap.value, bitmap_cells(short)))
-                yield doc_id, n, short[places].view(np.int64), places
+                short = short_lists(shingles, counts.value, similarity) if len(shingles) else shingles
+                yield doc_id, len(shingles), short.view(np.int64)
 
-        return batches_of(rows(), LISTED)
+        yield from batches_of(rows(), LISTED, 512)
+        give_back()
 
-    ddl = "doc_id bigint, n_shingles bigint, shingles array<bigint>, places array<int>"
+    ddl = "doc_id bigint, n_shingles bigint, shingles array<bigint>"
     return stage.table(docs.mapInArrow(lists, ddl), "lists", "zstd")
 
 
+def shared_lists(listed: DataFrame, stage: Stage, similarity: int) -> DataFrame:
+    """Table of the members of short lists: shingle, doc_id, n_shingles, size_class, place in the order.
+
+    Members of one size class have sizes within the similarity of each other, and a member of another
+    size is in the next class at most. A list is summed up by which classes it holds (modulo 64) and
+    by whether it has more members than classes; the others of its class and of the next ones are
+    all that a member can be linked with.
+    """
+    log_size = F.log(F.col("n_shingles").cast("double"))
+    size_class = F.floor(log_size / float(np.log(100 / similarity))).cast("int")
+    items = listed.filter("size(shingles) > 0 and doc_id is not null").select(
+        "doc_id", "n_shingles", F.posexplode("shingles").alias("place", "shingle")
+    )
+    classes = F.bit_or(F.expr("shiftleft(1L, pmod(size_class, 64))"))
+    summed = (
+        items.select("shingle", size_class.alias("size_class"))
+        .groupBy("shingle")
+        .agg(classes.alias("classes"), F.count(F.lit(1)).alias("members"))
+        .select("shingle", "classes", (F.col("members") > F.bit_count("classes")).alias("crowded"))
+    )
+    # Classes next to each other, the last and the first of the 64 too.
+    neighbours = "classes & (shiftleft(classes, 1) | shiftrightunsigned(classes, 63))"
+    shared = stage.key_sets({"shared": summed.filter(f"crowded or {neighbours} <> 0")})["shared"]
+    beside = F.expr("shiftleft(1L, pmod(size_class + 1, 64)) | shiftleft(1L, pmod(size_class - 1, 64))")
+    members = (
+        items.join(shared, "shingle")
+        .withColumn("size_class", size_class)
+        .filter(F.col("crowded") | (F.col("classes").bitwiseAND(beside) != 0))
+        .select("shingle", "doc_id", "n_shingles", "size_class", "place")
+    )
+    members = stage.table(members, "members", "zstd")
+    stage.drop_table(shared)
+    return members
+
+
 def probe(
     pairs: DataFrame, docs: DataFrame, stage: Stage, width: int, similarity: int
 ) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity, as a table; only their documents' texts are moved."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
-    ends = stage.key_sets({"ends": ends})["ends"]
-    held = docs.join(ends, F.col("doc_id") == F.col("end"), "left_semi")
-    texts = stage.table(_packed(held), "texts", "uncompressed")
+    """The pairs (a, b) whose sets reach the similarity, as a table; only their documents' texts are moved.
+
+    Which documents these are, all tasks that read texts know from a bitmap of fixed size.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).select(id_cell("end").alias("cell"))
+    texts = stage.table(_packed(docs, cell_bitmap(ends, CELL_BITS, stage)), "texts", "uncompressed")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batches):
@@ -213,19 +228,36 @@ def probe(
     of_b = texts.select(F.col("doc_id").alias("b"), F.col("bytes").alias("text_b"))
     joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b")
     links = stage.table(joined.mapInArrow(check, "a bigint, b bigint"), "links", "zstd")
-    stage.drop_table(ends, texts)
+    stage.drop_table(texts)
     return links
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """doc_id and the compressed text: texts travel with pairs, and this halves what is moved."""
+def id_cell(name: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(name), 64 - CELL_BITS)
+
+
+def _packed(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """doc_id and the compressed text of the documents in the bitmap's cells, where they are read.
+
+    So no text is sent to find out whether it is in a pair. A cell may hold other documents, too; the
+    joins with the pairs drop these. Texts travel with pairs, and compression halves what is moved.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("bytes", pa.binary())])
+    known = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def pack(batches):
         compress = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
-        return batches_of(((i, compress(text)) for i, text in records(batches)), schema)
 
-    return docs.select("doc_id", "text").mapInArrow(pack, "doc_id bigint, bytes binary")
+        def held():
+            for batch in batches:
+                cells = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64)
+                yield batch.filter(pa.array(flagged(known.value, cells)))
+
+        yield from batches_of(((i, compress(text)) for i, text in records(held())), schema)
+        give_back()
+
+    found = docs.filter("doc_id is not null").select("doc_id", "text", id_cell("doc_id").alias("cell"))
+    return found.mapInArrow(pack, "doc_id bigint, bytes binary")
 
 
 def similar(query: np.ndarray, other: np.ndarray, similarity: int) -> bool:
@@ -321,19 +353,7 @@ def find_links(
     """(doc_id and n_shingles, components of ``components``) for the links between documents."""
     plain = id_and_text(docs, id_col, text_col)
     listed = build_lists(plain, stage, width, similarity)
-    # Members of one size class have sizes within the similarity of each other.
-    log_size = F.log(F.col("n_shingles").cast("double"))
-    size_class = F.floor(log_size / float(np.log(100 / similarity))).cast("int")
-    lists = stage.table(
-        listed.filter("size(shingles) > 0 and doc_id is not null").select(
-            "doc_id", "n_shingles", size_class.alias("size_class"),
-            F.explode(F.arrays_zip("shingles", "places")).alias("at"),
-        ).select(
-            F.col("at.shingles").alias("shingle"), "doc_id", "n_shingles", "size_class",
-            F.col("at.places").alias("place"),
-        ),
-        "members", "zstd",
-    )
+    lists = shared_lists(listed, stage, similarity)
     sizes = stage.table(listed.select("doc_id", "n_shingles"), "sizes", "zstd")
     stage.drop_table(listed)
     tried = found = None
