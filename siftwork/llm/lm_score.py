@@ -26,10 +26,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.llm.common import batches_of, id_and_text, mixed, read, records, repeats_ids, word_hashes
+from siftwork.llm.common import (
+    batches_of,
+    give_back,
+    id_and_text,
+    mixed,
+    read,
+    records,
+    repeats_ids,
+    word_hashes,
+)
 from siftwork.plans.stage import Stage
 
 BACKOFF, UNSEEN = 0.4, 0.5
@@ -39,8 +49,8 @@ HEAVY = 1 << 17
 PAIRS = 1 << 11
 #: Occurrences that a part is meant to hold, and parts at least.
 PART, PARTS = 2_000_000, 64
-#: Occurrences that a task packs at once.
-CHUNK = 2_000_000
+#: Occurrences that a task counts at once, and that it packs at once, which takes more memory.
+CHUNK, PACK = 2_000_000, 500_000
 
 START, END = np.uint64(1), np.uint64(2)
 _ID = np.uint64((1 << 47) - 1)
@@ -115,6 +125,7 @@ def count_words(docs: DataFrame, stage: Stage) -> DataFrame:
             keys = np.concatenate((words, pairs)).view(np.int64)
             columns = [pa.array(kind), pa.array(keys), pa.array(np.concatenate((n, m)))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        give_back()
 
     counted = docs.mapInArrow(count, "kind int, key bigint, n bigint")
     return stage.table(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "words", "zstd")
@@ -134,11 +145,12 @@ def count_pairs(docs: DataFrame, wanted: np.ndarray) -> Counts:
 
     def count(batches):
         total = np.zeros(len(known.value.keys), dtype=np.int64)
-        for _, _, h, w in chunks(batches):
+        for _, _, h, w in chunks(batches, PACK):
             inside, places = known.value.places(pair_keys(h, w))
             total += np.bincount(places[inside], minlength=len(total))
         keys = known.value.keys.view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], schema=schema)
+        give_back()
 
     return _collected(docs.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")))
 
@@ -177,8 +189,8 @@ def deal_pairs(docs: DataFrame, words: Counts, pairs: Counts, n_words: int, part
 
     def deal(batches):
         words, pairs = known.value
-        for ids, sizes, h, w in chunks(batches):
-            ids = np.array(ids, dtype=object)
+        for ids, sizes, h, w in chunks(batches, PACK):
+            ids = np.array(ids, dtype=np.int64)
             owner = np.repeat(np.arange(len(ids)), sizes)
             key = pair_keys(h, w)
             large, place = pairs.places(key)
@@ -193,6 +205,7 @@ def deal_pairs(docs: DataFrame, words: Counts, pairs: Counts, n_words: int, part
             packed = ((w[light] & _LOW32) << np.uint64(32)) | (h[light] & _LOW32)
             more = (h[light] >> np.uint64(32)).astype(np.uint16)
             yield from _packed(ids, owner[light], own_part[light], packed, more)
+        give_back()
 
     def _packed(ids, owner, part, keys, more):
         order = np.argsort(part, kind="stable")
@@ -207,7 +220,7 @@ def deal_pairs(docs: DataFrame, words: Counts, pairs: Counts, n_words: int, part
             at = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             sizes = np.diff(np.append(at, b - a)).astype(np.int32)
             rest = more[a:b].tobytes() if more is not None else None
-            rows.append((int(part[a]), more is None, list(ids[own[at]]), sizes, keys[a:b].tobytes(), rest))
+            rows.append((int(part[a]), more is None, ids[own[at]], sizes, keys[a:b].tobytes(), rest))
         yield from batches_of(rows, PACKED, 32)
 
     def _scored_here(ids, owner, h, w, place, words, pairs):
@@ -231,7 +244,7 @@ def deal_pairs(docs: DataFrame, words: Counts, pairs: Counts, n_words: int, part
         rows = []
         for p in range(min(parts, len(ids))):
             mine = part == p
-            rows.append((p, None, list(ids[mine]), n[mine], sums[mine].tobytes(), None))
+            rows.append((p, None, ids[mine], n[mine], sums[mine].tobytes(), None))
         yield from batches_of(rows, PACKED, 32)
 
     return docs.mapInArrow(deal, PACKED_DDL)
@@ -246,31 +259,32 @@ def score_parts(packed: DataFrame, words: Counts, n_words: int) -> DataFrame:
     )
 
     def run(table: pa.Table) -> pa.Table:
-        words, spread = known.value, table["spread"].to_pylist()
-        out = []
-        for ids, sizes, sums in zip(
-            *(table.filter(pa.array([x is None for x in spread]))[c].to_pylist() for c in ("ids", "sizes", "keys"))
-        ):
-            out += [(i, s, n, None) for i, s, n in zip(ids, np.frombuffer(sums).tolist(), sizes)]
+        words, spread = known.value, table["spread"]
+        out = [schema.empty_table()]
+        chosen = table.filter(pc.is_null(spread))
+        ids = _flat(chosen["ids"])
+        none = pa.nulls(len(ids), schema.field("rare").type)
+        out.append(_scored(ids, _bytes(chosen["keys"], np.float64), _flat(chosen["sizes"]), none))
         for kind in (True, False):
-            chosen = table.filter(pa.array([x is kind for x in spread]))
+            chosen = table.filter(pc.equal(spread, kind))
             if not chosen.num_rows:
                 continue
-            ids = np.concatenate([np.array(x, dtype=object) for x in chosen["ids"].to_pylist()])
-            sizes = np.concatenate([np.array(x) for x in chosen["sizes"].to_pylist()])
-            keys = np.concatenate([np.frombuffer(x, np.uint64) for x in chosen["keys"].to_pylist()])
-            ids, which = _numbered(ids)
-            owner = np.repeat(which, sizes)
+            keys = _bytes(chosen["keys"], np.uint64)
+            # No id is missing here, and they come out in order, whatever order they came in.
+            ids, which = np.unique(_flat(chosen["ids"]), return_inverse=True)
+            owner = np.repeat(which, _flat(chosen["sizes"]))
             if kind:
                 _, key, own, tf, count = _own_counts(owner, keys)
                 h, of_w = key & _ID, words.counts[(key >> np.uint64(47)).astype(np.int64)]
             else:
-                more = np.concatenate([np.frombuffer(x, np.uint16) for x in chosen["more"].to_pylist()])
+                more = _bytes(chosen["more"], np.uint16)
                 h = (more.astype(np.uint64) << np.uint64(32)) | (keys & _LOW32)
                 w = keys >> np.uint64(32)
+                del more, keys
                 at, _, own, tf, count = _own_counts(owner, pair_keys(h, w))
                 _, place, n = np.unique(w, return_inverse=True, return_counts=True)
                 h, of_w = h[at], n[place[at]]
+                del w, place
             seen = count > tf
             heavy, place = words.places(h)
             of_h = words.counts[place] if len(words.counts) else np.ones(len(h), dtype=np.int64)
@@ -280,23 +294,38 @@ def score_parts(packed: DataFrame, words: Counts, n_words: int) -> DataFrame:
                 np.where(seen, 0.0, np.log10(BACKOFF * np.maximum(of_w - tf, UNSEEN) / n_words)),
             )
             sums = np.bincount(own, weights=score * tf, minlength=len(ids))
-            open_pairs: dict[int, list[dict]] = {}
-            for i in np.flatnonzero(seen & ~heavy).tolist():
-                found = {"context": int(h[i]), "n": int(count[i] - tf[i]), "tf": int(tf[i])}
-                open_pairs.setdefault(int(own[i]), []).append(found)
-            n = np.bincount(own, weights=tf, minlength=len(ids)).astype(np.int64).tolist()
-            out += [(i, s, n[k], open_pairs.get(k)) for k, (i, s) in enumerate(zip(ids, sums.tolist()))]
-        columns = zip(*out) if out else [[], [], [], []]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            n = np.bincount(own, weights=tf, minlength=len(ids)).astype(np.int64)
+            found = np.flatnonzero(seen & ~heavy)
+            found = found[np.argsort(own[found], kind="stable")]
+            held = np.bincount(own[found], minlength=len(ids))
+            ends = np.append(0, np.cumsum(held)).astype(np.int32)
+            values = [h[found].view(np.int64), (count - tf)[found], tf[found]]
+            values = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in values], fields=list(rare))
+            lists = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array(held == 0))
+            out.append(_scored(ids, sums, n, lists.cast(schema.field("rare").type)))
+        return pa.concat_tables(out)
+
+    def _scored(ids, sums, n, lists) -> pa.Table:
+        columns = [pa.array(ids, pa.int64()), pa.array(sums, pa.float64()), pa.array(n, pa.int64()), lists]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    def part(table: pa.Table) -> pa.Table:
+        scored = run(table)
+        # What the part took is free again, and the next part or another stage's tasks may need it.
+        give_back()
+        return scored
 
     ddl = "doc_id bigint, score double, n_pairs bigint, rare array<struct<context: bigint, n: bigint, tf: bigint>>"
-    return packed.groupBy("part").applyInArrow(run, ddl)
+    return packed.groupBy("part").applyInArrow(part, ddl)
+
+
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_flatten(lists).to_numpy()
 
 
-def _numbered(ids: np.ndarray) -> tuple[list, np.ndarray]:
-    numbers: dict = {}
-    which = np.array([numbers.setdefault(i, len(numbers)) for i in ids], dtype=np.int64)
-    return list(numbers), which
+def _bytes(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    """The values of all packed arrays of a column, one after the other."""
+    return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x.as_buffer(), dtype) for x in column)])
 
 
 def score_documents(

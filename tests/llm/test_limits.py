@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import collections
 import random
+import tracemalloc
+import types
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.llm import jaccard_join
+from siftwork.llm import jaccard_join, lm_score
 from siftwork.plans.stage import Stage
 
 
@@ -74,3 +78,39 @@ def test_lists_hold_only_members_that_can_meet(spark, stage, similarity):
                     assert (shingle, i, n, place) in own
     assert all(c == size_class(n) for (_, _, n, _), c in own.items())
     assert got.groupBy("shingle").agg(F.count("*").alias("n")).filter("n < 2").isEmpty()
+
+
+def test_small_packs_score_as_one_does(spark, stage, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{int(1.5 ** rng.uniform(0, 16))}" for _ in range(4000)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 60)))) for i in range(150)] + [(999, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(lm_score, "HEAVY", 100)
+    monkeypatch.setattr(lm_score, "PARTS", 3)
+    whole = {r.doc_id: r for r in lm_score.score_documents(docs, stage).collect()}
+    monkeypatch.setattr(lm_score, "PACK", 400)
+    in_packs = {r.doc_id: r for r in lm_score.score_documents(docs, stage).collect()}
+    assert whole.keys() == in_packs.keys() == {i for i, _ in rows}
+    for i, r in whole.items():
+        assert r.n_pairs == in_packs[i].n_pairs
+        assert r.log10_score == pytest.approx(in_packs[i].log10_score, rel=1e-12)
+
+
+def test_open_pairs_never_become_python_objects(spark):
+    """Scoring a part takes a few arrays: objects for each open pair would take some hundred bytes more."""
+    sent = []
+    packed = types.SimpleNamespace(sparkSession=spark)
+    packed.groupBy = lambda name: types.SimpleNamespace(applyInArrow=lambda f, ddl: sent.append(f))
+    lm_score.score_parts(packed, lm_score.Counts([5], [1000]), 1000)
+    n = 200_000
+    # Each pair occurs in two documents, so all are open, as no context is known.
+    keys = ((np.arange(n, dtype=np.uint64) // np.uint64(2)) << np.uint64(32)) | np.uint64(9)
+    columns = [[0], [False], [np.arange(n) % 1000], [np.ones(n, np.int32)], [keys.tobytes()], [bytes(2 * n)]]
+    table = pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(columns, lm_score.PACKED)], schema=lm_score.PACKED)
+    tracemalloc.start()
+    out = sent[0](table)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert out.num_rows == 1000 and pc.sum(pc.list_value_length(out["rare"])).as_py() == n
+    assert out["rare"][0].as_py()[0] == {"context": 9, "n": 1, "tf": 1}
+    assert peak < 200 * n
