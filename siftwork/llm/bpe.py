@@ -27,7 +27,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.llm.common import batches_of, id_and_text, read
+from siftwork.llm.common import batches_of, give_back, id_and_text, read
 
 #: Characters handed to the encoder at a time.
 CHUNK = 1 << 16
@@ -209,6 +209,10 @@ class _Remembered(dict):
         self.merges = merges
         self.older: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.older.clear()
+
     def __missing__(self, piece: str) -> tuple[int, ...]:
         tokens = self.older.get(piece)
         if tokens is None:
@@ -409,6 +413,23 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _with_tokenizer(path: str, rows, schema: pa.Schema, size: int = 1024):
+    """A task that runs ``rows(tokenizer, batches)``; the pieces it remembered go at its end.
+
+    Workers wait for further tasks, of any stage, and the pieces of two tasks take some 140 MB in each.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = tokenizer_of(path)
+        try:
+            yield from batches_of(rows(tokenizer, batches), schema, size)
+        finally:
+            tokenizer.remembered.forget()
+            give_back()
+
+    return run
+
+
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, str]]:
     for batch in batches:
         texts = batch.column(1)
@@ -422,24 +443,22 @@ def encode_column(
     """doc_id and the array of token ids of each document."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
-    def encode(batches):
-        tokenizer = tokenizer_of(path)
-        rows = ((i, tokenizer.encode(text)) for i, text in _texts(batches))
-        return batches_of(rows, schema, 64)
+    def encode(tokenizer, batches):
+        return ((i, tokenizer.encode(text)) for i, text in _texts(batches))
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(encode, "doc_id bigint, ids array<int>")
+    task = _with_tokenizer(path, encode, schema, 64)
+    return id_and_text(docs, id_col, text_col).mapInArrow(task, "doc_id bigint, ids array<int>")
 
 
 def decode_column(tokens: DataFrame, path: str) -> DataFrame:
     """doc_id and text of the documents of ``encode_column``; null ids give an empty text."""
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
-    def decode(batches):
-        tokenizer = tokenizer_of(path)
-        rows = ((i, tokenizer.decode(ids or ())) for i, ids in _texts(batches))
-        return batches_of(rows, schema, 64)
+    def decode(tokenizer, batches):
+        return ((i, tokenizer.decode(ids or ())) for i, ids in _texts(batches))
 
-    return tokens.select("doc_id", "ids").mapInArrow(decode, "doc_id bigint, text string")
+    task = _with_tokenizer(path, decode, schema, 64)
+    return tokens.select("doc_id", "ids").mapInArrow(task, "doc_id bigint, text string")
 
 
 DIGESTS = pa.schema(
@@ -473,13 +492,12 @@ def round_trip(
 ) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256; nothing is shuffled."""
 
-    def run(batches):
-        tokenizer = tokenizer_of(path)
-        rows = ((i, *digest(tokenizer, text)) for i, text in _texts(batches))
-        return batches_of(rows, DIGESTS)
+    def digests(tokenizer, batches):
+        return ((i, *digest(tokenizer, text)) for i, text in _texts(batches))
 
     return id_and_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        _with_tokenizer(path, digests, DIGESTS),
+        "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     )
 
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.llm import jaccard_join, lm_score
+from siftwork.llm import bpe, jaccard_join, lm_score
 from siftwork.plans.stage import Stage
 
 
@@ -114,3 +114,27 @@ def test_open_pairs_never_become_python_objects(spark):
     assert out.num_rows == 1000 and pc.sum(pc.list_value_length(out["rare"])).as_py() == n
     assert out["rare"][0].as_py()[0] == {"context": 9, "n": 1, "tf": 1}
     assert peak < 200 * n
+
+
+def test_workers_forget_the_pieces_of_a_bpe_task(spark):
+    """Workers are kept for tasks of other stages, which need the memory."""
+    path = bpe.vocabulary_path()
+    rows = [(i, " ".join(f"piece{i}x{k}" for k in range(50))) for i in range(200)] + [(None, "a b c"), (900, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+
+    def held(batches):
+        for _ in batches:
+            pass
+        found = list(bpe._tokenizers.values())
+        n = sum(len(t.remembered) + len(t.remembered.older) for t in found)
+        yield pa.RecordBatch.from_pydict({"tokenizers": [len(found)], "pieces": [n]})
+
+    tokens = bpe.encode_column(docs, path)
+    for task in (bpe.round_trip(docs, path), tokens, bpe.decode_column(tokens, path)):
+        assert task.count() == len(rows)
+        task.write.format("noop").mode("overwrite").save()
+        left = spark.range(0, 32, 1, 32).mapInArrow(held, "tokenizers long, pieces long").collect()
+        # A worker that ran a task is among them, and keeps its vocabulary.
+        assert any(r.tokenizers for r in left) and not any(r.pieces for r in left)
+    texts = {r.doc_id: r.text for r in bpe.decode_column(tokens, path).collect()}
+    assert texts == {i: text or "" for i, text in rows}
