@@ -10,7 +10,8 @@ texts. A line goes if any earlier line, by doc_id and line number, is within one
 Few lines have such a neighbour, and variants are many, so lines are first split into four parts:
 an edit leaves three of them as they are. Hashes of the other three parts, for the line's own
 length and the next smaller one, are counted over different lines; lines that share none can't have
-a neighbour and emit no variants.
+a neighbour and emit no variants. A bitmap of shared hashes, of fixed size, thins lines out, and the
+whole hashes of those that pass decide. Variants go with a line's rank by first place, in eight bytes.
 
 Lines end at newlines. Empty lines stay and are not compared; all others are, of every length, unless
 ``min_chars`` asks that shorter ones be compared for equality only. Null texts are empty. Of rows with
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftwork.llm.common import (
@@ -30,8 +31,10 @@ from siftwork.llm.common import (
     batches_of,
     cell_bitmap,
     flagged,
+    give_back,
     mixed,
     read,
+    small,
 )
 from siftwork.llm.substring_dedup import with_key
 from siftwork.plans.stage import Stage
@@ -42,6 +45,8 @@ MIN_CHARS = 1
 BITS = 26
 #: Characters that are hashed at once.
 BLOCK = 200_000
+#: Rows and bytes that go to a Python worker at once; executors keep buffers of the largest batch.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1000, 4 << 20
 
 _letters = RollingHashes(0x9E3779B97F4A7C15)
 _places = RollingHashes(0xC2B2AE3D27D4EB4F)
@@ -101,7 +106,7 @@ def within_one_edit(a: str, b: str) -> bool:
 
 def _blocks(batches):
     """(ids, keys, texts) of a few texts at a time."""
-    for batch in batches:
+    for batch in small(batches):
         ids, texts, keys = (batch.column(i).to_pylist() for i in range(3))
         first, size = 0, 0
         for i, text in enumerate(texts):
@@ -125,6 +130,7 @@ def shared_parts(docs: DataFrame, stage: Stage, min_chars: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array(np.concatenate(keys).view(np.int64)), "line": pa.array(own)}
             )
+        give_back()
 
     cell = F.shiftrightunsigned("part", 64 - BITS)
     shared = (
@@ -145,15 +151,13 @@ LINES = pa.schema(
         ("key", pa.int64()),
         ("second", pa.int64()),
         ("line", pa.string()),
-        ("itself", pa.list_(pa.int64())),
-        ("wholes", pa.list_(pa.int64())),
-        ("placed", pa.list_(pa.int64())),
+        ("parts", pa.list_(pa.int64())),
     ]
 )
 
 
 def hashed_lines(docs: DataFrame, stage: Stage, min_chars: int) -> DataFrame:
-    """Every line that is not empty, with text and variants where it may have a neighbour."""
+    """Every line that is not empty, with text and part hashes where the bitmap has one of these."""
     bitmap = docs.sparkSession.sparkContext.broadcast(shared_parts(docs, stage, min_chars))
 
     def rows(batches):
@@ -161,32 +165,43 @@ def hashed_lines(docs: DataFrame, stage: Stage, min_chars: int) -> DataFrame:
         for ids, keys, texts in _blocks(batches):
             lines = Lines(texts)
             chosen = np.flatnonzero(lines.sizes >= min_chars)
-            ranges: dict[int, list[np.ndarray]] = {}
-            for a, b, key in lines.part_keys(chosen):
+            passed: dict[int, list[int]] = {}
+            for _, _, key in lines.part_keys(chosen):
                 hits = np.flatnonzero(flagged(bitmap.value, key >> np.uint64(64 - BITS)))
-                for i in hits.tolist():
-                    ranges.setdefault(int(chosen[i]), []).append(np.arange(a[i], b[i]))
-            own, second = lines.keys.view(np.int64).tolist(), lines.second.view(np.int64).tolist()
-            owners, numbers = lines.owner.tolist(), lines.number.tolist()
-            for line in np.flatnonzero(lines.sizes > 0).tolist():
-                at = owners[line]
-                row = ids[at], keys[at], numbers[line], own[line], second[line]
-                if line not in ranges or own[line] in seen:
-                    yield (*row, None, None, None, None)
+                for line, part in zip(chosen[hits].tolist(), key[hits].view(np.int64).tolist()):
+                    passed.setdefault(line, []).append(part)
+            own = lines.keys.view(np.int64)
+            held = np.flatnonzero(lines.sizes > 0)
+            line_texts, line_parts = [None] * len(held), [None] * len(held)
+            for at in np.flatnonzero(np.isin(held, np.array(list(passed), dtype=np.int64))).tolist():
+                line = int(held[at])
+                if int(own[line]) in seen:
                     continue
                 if len(seen) >= 200_000:
                     seen.clear()
-                seen.add(own[line])
-                whole, placed = lines.variants(line, np.unique(np.concatenate(ranges[line])))
-                text = lines.text[lines.starts[line] : lines.ends[line]]
-                itself = mixed(_string_hash(lines, line))
-                yield (*row, text, itself.view(np.int64), np.unique(whole).view(np.int64), placed.view(np.int64))
+                seen.add(int(own[line]))
+                line_texts[at] = lines.text[lines.starts[line] : lines.ends[line]]
+                line_parts[at] = passed[line]
+            owners = pa.array(lines.owner[held])
+            columns = [
+                pa.array(ids, pa.int64()).take(owners),
+                pa.array(keys, pa.int64()).take(owners),
+                lines.number[held].astype(np.int32),
+                own[held],
+                lines.second.view(np.int64)[held],
+                line_texts,
+                line_parts,
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, type=field.type) for column, field in zip(columns, LINES)], schema=LINES
+            )
+        give_back()
 
     ddl = (
         "doc_id bigint, text_key bigint, number int, key bigint, second bigint, line string, "
-        "itself array<bigint>, wholes array<bigint>, placed array<bigint>"
+        "parts array<bigint>"
     )
-    return docs.mapInArrow(lambda batches: batches_of(rows(batches), LINES, 512), ddl)
+    return docs.mapInArrow(rows, ddl)
 
 
 def _string_hash(lines: Lines, line: int) -> np.ndarray:
@@ -195,72 +210,104 @@ def _string_hash(lines: Lines, line: int) -> np.ndarray:
     return whole + np.uint64(end - start)
 
 
-def near_lines(lines: DataFrame, firsts: DataFrame, stage: Stage) -> DataFrame:
-    """(key, second) of lines with an earlier one within one edit, as a table."""
-    place = F.struct("first.doc_id", "first.text_key", "first.number", "key", "second")
+def candidates(lines: DataFrame, firsts: DataFrame, stage: Stage) -> DataFrame:
+    """Different lines that share a part with another one, and those parts, as a table.
+
+    Their ``rank`` is the order of their first places. The bitmap passes the more lines without
+    a shared part the larger the corpus is, so parts are compared whole here.
+    """
     texts = (
         lines.filter("line is not null")
         .groupBy("key", "second")
-        .agg(F.first("line").alias("line"))
+        .agg(F.first("line").alias("line"), F.first("parts").alias("parts"))
     )
     texts = stage.table(texts, "texts", "zstd")
-    keyed = (
-        lines.filter("line is not null")
-        .select(
-            "key", "second",
-            F.explode(
-                F.concat(
-                    F.transform("itself", lambda h: F.struct(h.alias("hash"), F.lit(0).alias("kind"))),
-                    F.transform("wholes", lambda h: F.struct(h.alias("hash"), F.lit(1).alias("kind"))),
-                    F.transform("placed", lambda h: F.struct(h.alias("hash"), F.lit(2).alias("kind"))),
-                )
-            ).alias("variant"),
-        )
-        .select("key", "second", "variant.hash", "variant.kind")
-        .distinct()
+    parts = texts.select("key", "second", F.explode("parts").alias("part"))
+    shared = parts.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1").select("part")
+    own = parts.join(shared, "part").groupBy("key", "second").agg(F.collect_list("part").alias("parts"))
+    own = stage.table(own.join(firsts, ["key", "second"]), "shared", "zstd")
+    # Ids increase from one sorted partition to the next, and each place holds one line.
+    ranked = (
+        texts.select("key", "second", "line")
+        .join(own, ["key", "second"])
+        .orderBy("first.doc_id", "first.text_key", "first.number")
+        .select(F.monotonically_increasing_id().alias("rank"), "key", "second", "line", "parts")
     )
-    keyed = stage.table(keyed, "variants", "zstd")
-    held = keyed.join(firsts, ["key", "second"]).select("hash", "kind", "key", "second", place.alias("place"))
-    earliest = held.groupBy("hash", "kind").agg(F.min("place").alias("earliest"))
+    ranked = stage.table(ranked, "ranked", "zstd")
+    stage.drop_table(texts, own)
+    return ranked
+
+
+ITSELF, WHOLE, PLACED = range(3)
+VARIANTS = pa.schema([("hash", pa.int64()), ("kind", pa.int8()), ("rank", pa.int64())])
+
+
+def variants(ranked: DataFrame) -> DataFrame:
+    """(hash, kind, rank): each line itself, and without a character of its shared parts' places."""
+
+    def rows(batches):
+        for ranks, shared, texts in _blocks(batches):
+            lines = Lines(texts)
+            ranges: list[list[np.ndarray]] = [[] for _ in texts]
+            for a, b, key in lines.part_keys(np.arange(len(texts))):
+                for line, part in enumerate(key.view(np.int64).tolist()):
+                    if part in shared[line]:
+                        ranges[line].append(np.arange(a[line], b[line]))
+            for line, rank in enumerate(ranks):
+                whole, placed = lines.variants(line, np.unique(np.concatenate(ranges[line])))
+                hashes = mixed(_string_hash(lines, line)), np.unique(whole), placed
+                sizes = [len(h) for h in hashes]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(hashes).view(np.int64)),
+                        pa.array(np.repeat(np.array([ITSELF, WHOLE, PLACED], dtype=np.int8), sizes)),
+                        pa.array(np.full(sum(sizes), rank, dtype=np.int64)),
+                    ],
+                    schema=VARIANTS,
+                )
+        give_back()
+
+    # A small table of lines is a large one of variants, so it is dealt over all tasks.
+    tasks = int(ranked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ranked.select("rank", "line", "parts").repartition(tasks, "rank")
+    return dealt.mapInArrow(rows, "hash bigint, kind tinyint, rank bigint")
+
+
+def near_lines(lines: DataFrame, firsts: DataFrame, stage: Stage) -> DataFrame:
+    """(key, second) of lines with an earlier one within one edit, as a table."""
+    ranked = candidates(lines, firsts, stage)
     # A line meets its deletion variants' owners and the other way round, and lines that differ
-    # in the character at one place.
-    other = earliest.select(
-        "hash",
-        F.when(F.col("kind") == 2, 2).otherwise(1 - F.col("kind")).alias("kind"),
-        "earliest",
-    )
-    pairs = (
-        held.join(other, ["hash", "kind"])
-        .filter("earliest < place")
-        .select("key", "second", F.col("earliest.key").alias("other"), F.col("earliest.second").alias("other_second"))
-        .filter("key <> other or second <> other_second")
-        .distinct()
-    )
-    of_other = texts.select(
-        F.col("key").alias("other"), F.col("second").alias("other_second"), F.col("line").alias("other_line")
+    # in the character at one place. The lines are different, so a hash has few.
+    of_hash = Window.partitionBy("hash")
+    first_of = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("rank"))).over(of_hash)
+    other = (
+        F.when(F.col("kind") == ITSELF, first_of(WHOLE))
+        .when(F.col("kind") == WHOLE, first_of(ITSELF))
+        .otherwise(first_of(PLACED))
     )
+    pairs = variants(ranked).select("rank", other.alias("other")).filter("other < rank").distinct()
+    pairs = stage.table(pairs, "pairs", "zstd")
     verified = pa.schema([("key", pa.int64()), ("second", pa.int64())])
 
     def verify(batches):
         def rows():
-            for batch in batches:
+            for batch in small(batches):
                 for key, second, a, b in zip(*(c.to_pylist() for c in batch.columns)):
                     if within_one_edit(a, b):
                         yield key, second
 
         return batches_of(rows(), verified)
 
-    pairs = stage.table(pairs, "pairs", "zstd")
-    stage.drop_table(keyed)
+    of_other = ranked.select(F.col("rank").alias("other"), F.col("line").alias("other_line"))
     near = (
-        pairs.join(texts, ["key", "second"])
-        .join(of_other, ["other", "other_second"])
+        pairs.join(ranked.select("rank", "key", "second", "line"), "rank")
+        .join(of_other, "other")
         .select("key", "second", "line", "other_line")
         .mapInArrow(verify, "key bigint, second bigint")
         .distinct()
     )
     near = stage.table(near, "near", "zstd")
-    stage.drop_table(pairs, texts)
+    stage.drop_table(pairs, ranked)
     return near
 
 
@@ -296,13 +343,14 @@ def remove_lines(
 
     def cut(batches):
         def rows():
-            for batch in batches:
+            for batch in small(batches):
                 for doc_id, text, gone in zip(*(c.to_pylist() for c in batch.columns)):
                     lines, out = text.split("\n"), set(gone or ())
                     kept = [line for i, line in enumerate(lines) if i not in out]
                     yield doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)
 
-        return batches_of(rows(), schema, 256)
+        yield from batches_of(rows(), schema, 256)
+        give_back()
 
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key"))
     joined = plain.join(gone, same, "left").select("doc_id", "text", "gone")
@@ -310,6 +358,8 @@ def remove_lines(
 
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_AT_ONCE)
     cut = remove_lines(read(spark, folder, "documents"), Stage(spark))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.llm import bpe, jaccard_join, lm_score
+from siftwork.llm import bpe, jaccard_join, line_dedup, lm_score
 from siftwork.plans.stage import Stage
 
 
@@ -138,3 +138,35 @@ def test_workers_forget_the_pieces_of_a_bpe_task(spark):
         assert any(r.tokenizers for r in left) and not any(r.pieces for r in left)
     texts = {r.doc_id: r.text for r in bpe.decode_column(tokens, path).collect()}
     assert texts == {i: text or "" for i, text in rows}
+
+
+def test_a_full_bitmap_makes_no_more_variants_of_lines(spark, monkeypatch):
+    """Only lines that share a part with another one are ranked and spelt out."""
+    rng = random.Random(8)
+    line = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    rows = [(i, "\n".join([line(60), "common line", line(45)])) for i in range(150)]
+    # Lines one edit away, lines that only share a part, ids that repeat, and none.
+    near = [t.split("\n")[0] for _, t in rows[:20]]
+    rows += [(500 + i, t[:i] + "Q" + t[i + (i % 2) :]) for i, t in enumerate(near)]
+    rows += [(600 + i, t[:45] + line(15)) for i, t in enumerate(near)]
+    rows += [(3, near[4][:-1] + "Z"), (None, near[5] + "Z"), (None, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain, counts = Stage.table, collections.Counter()
+
+    def table(self, df, name, *args, **options):
+        out = plain(self, df, name, *args, **options)
+        counts[name] += out.count()
+        return out
+
+    monkeypatch.setattr(Stage, "table", table)
+    found = []
+    for bits in (26, 6):
+        monkeypatch.setattr(line_dedup, "BITS", bits)
+        counts.clear()
+        kept = line_dedup.remove_lines(docs, Stage(spark)).collect()
+        found.append((sorted(map(str, kept)), counts["ranked"], counts["pairs"]))
+    assert found[0] == found[1]
+    assert 40 <= found[0][1] <= 80
+    # The null id comes first, so the line near[5] of document 5 goes; document 0 is the first of "common line".
+    gone = sum(r.n_removed for r in kept)
+    assert gone == 149 + 20 + 1 + 1
